@@ -1,0 +1,29 @@
+"""Connected components of a graph given as edges."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from auralith.llm.common import checkpointed
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """node, root (smallest node that it reaches) for the nodes of edges a, b.
+
+    Rounds of hooking and shortcutting: a node takes the smallest parent that its neighbours have, tells its own parent, and then points to
+    its parent's parent, so that the depth halves. Ends when a round changes nothing. Each round is checkpointed; aggregates combine
+    before they shuffle, and no group of neighbours is gathered.
+    """
+    both = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).where("u <> v").distinct())
+    state = checkpointed(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v")).select("node", F.least("node", "v").alias("parent")))
+    while True:
+        heard = both.join(state, F.col("v") == F.col("node")).groupBy("u").agg(F.min("parent").alias("heard"))
+        low = state.join(heard, F.col("node") == F.col("u"), "left").select("node", F.col("parent").alias("was"), F.least("parent", "heard").alias("low"))
+        told = low.groupBy(F.col("was").alias("u")).agg(F.min("low").alias("told"))
+        low = checkpointed(low.join(told, F.col("node") == F.col("u"), "left").select("node", "was", F.least("low", "told").alias("low")))
+        parents = low.select(F.col("node").alias("u"), F.col("low").alias("next"))
+        step = checkpointed(low.join(parents, F.col("low") == F.col("u")).select("node", "was", F.least("low", "next").alias("parent")))
+        state = step.select("node", "parent")
+        if step.where(F.col("parent") < F.col("was")).isEmpty():
+            return state.withColumnRenamed("parent", "root")
