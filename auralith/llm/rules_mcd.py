@@ -174,4 +174,5 @@ def keep_good(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The given columns of the documents that the rules keep. The texts are read twice rather than shuffled or stored."""
     model = fit(checkpointed(base_counts(docs, ["lang", "source"])))
     wide = base_counts(docs.select(F.struct(*columns).alias("__row"), "text", "lang", "source"), ["__row", "lang", "source"])
-    return judge(wide, model).where("kept").select("__row.*")
+    # a generator, not a filter: a filter would be pushed below the counts and repeat their expressions many times over
+    return judge(wide, model).select(F.explode(F.when(F.col("kept"), F.array("__row"))).alias("__row")).select("__row.*")
