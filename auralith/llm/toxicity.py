@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from auralith.llm.calibration import fit_logistic, sigmoid
 from auralith.llm.common import crc_rest, labelled_sample, map_texts
 
-FIT_ROWS = 4000
+FIT_ROWS = 2000
 THRESHOLD = 0.3
 #: Lengths of learned word beginnings; the least toxic texts that show one.
 LENGTHS, SEEN = range(3, 9), 4
@@ -220,13 +220,12 @@ def learn_units(texts: list[tuple[set[str], int]]) -> tuple[tuple[str, bool, str
     bad = Counter({p: n for p, n in bad.items() if n >= SEEN})
     # what couldn't be taken even if no clean text had it
     least = (math.log(0.1) - math.log(max(1, len(bad)))) / chance
-    seen = {p: n for p, n in bad.items() if n >= least}
-    known: dict[str, list[tuple[str, bool]]] = {}
+    seen, candidates = {p: n for p, n in bad.items() if n >= least}, max(1, len(bad))
+    del bad
     for words, y in texts:
         found = set()
         for w in words:
-            if (own := known.get(w)) is None:
-                own = known[w] = [p for p in parts(w) if p in seen]
+            own = [p for p in parts(w) if p in seen]
             found.update(own)
             if y:
                 for unit, beginning in own:
@@ -243,7 +242,7 @@ def learn_units(texts: list[tuple[set[str], int]]) -> tuple[tuple[str, bool, str
         top = max(terms)
         tail = top + math.log(sum(math.exp(x - top) for x in terms))
         odds = math.log((t + 0.5) / (n_bad + 1)) - math.log((c + 0.5) / (n_good + 1))
-        if tail + math.log(len(bad)) < math.log(0.1) and odds > 3.3:
+        if tail + math.log(candidates) < math.log(0.1) and odds > 3.3:
             ranked.append((tail, -len(p[0]), p, c / (t + c)))
     taken: dict[str, tuple[str, bool, str]] = {}
     beginnings: set[str] = set()
