@@ -4,7 +4,7 @@ A fingerprint bit is 1 if it is set in over half the hashes of a text's word shi
 segments, fewer than the differing bits that still link, so that one segment differs by one bit at most if 2 * segments > radius.
 Each fingerprint is filed once for every bit position: the segment of that position without that bit. Fingerprints with an equal
 entry are compared in full. Equal fingerprints are filed once. An entry with many fingerprints yields a spanning forest
-of its links, not all pairs; one with more than BUCKET is dealt out as pairs of blocks, which loses no link.
+of its links, not all pairs, and a link counts in one entry only; one with more than BUCKET is dealt out as pairs of blocks, which loses no link.
 Links between fingerprints become components, whose name is the smallest doc_id in them.
 
 Cases: null text is empty; texts without words have fingerprint zero and link like others; a text with fewer words than a shingle is
@@ -79,49 +79,69 @@ def fingerprints(docs: DataFrame, words: int = 4, bits: int = 64) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), "text", ", ".join(f"f{i} bigint" for i in range(lanes)), work).drop("text")
 
 
-def _variants(lanes: int, segments: int) -> Column:
-    """The entries of a fingerprint: for each bit, its number, above the segment that holds it with that bit cleared."""
+def _cuts(lanes: int, segments: int) -> list[tuple[int, int, int]]:
+    """Lane, first bit and end of each segment."""
     per = segments // lanes
     cuts = [round(64 * k / per) for k in range(per + 1)]
+    return [(lane, low, high) for lane in range(lanes) for low, high in zip(cuts, cuts[1:], strict=False)]
+
+
+def _variants(lanes: int, segments: int) -> Column:
+    """The entries of a fingerprint: for each bit, its number, above the segment that holds it with that bit cleared."""
     out = []
-    for lane in range(lanes):
-        for low, high in zip(cuts, cuts[1:], strict=False):
-            for bit in range(high - low):
-                mask = (1 << (high - low)) - 1 - (1 << bit)
-                out.append(F.shiftrightunsigned(f"f{lane}", low).bitwiseAND(F.lit(mask).cast("long")).bitwiseOR(F.lit((64 * lane + low + bit) << 32).cast("long")))
+    for lane, low, high in _cuts(lanes, segments):
+        for bit in range(high - low):
+            mask = (1 << (high - low)) - 1 - (1 << bit)
+            out.append(F.shiftrightunsigned(f"f{lane}", low).bitwiseAND(F.lit(mask).cast("long")).bitwiseOR(F.lit((64 * lane + low + bit) << 32).cast("long")))
     return F.array(*out)
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(-1) <= radius
+def _own_entry(x: np.ndarray, segments: int) -> np.ndarray:
+    """Of the entries that two fingerprints with differing bits x share, the number of the one that their link counts in: the first segment
+    that differs by one bit at most, at that bit (the first bit if it doesn't differ). So no link is made in two entries."""
+    out = np.full(len(x), -1)
+    for lane, low, high in reversed(_cuts(x.shape[1], segments)):
+        bits = (x[:, lane] >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+        near = np.bitwise_count(bits) <= 1
+        at = np.where(bits == 0, 0, np.bitwise_count(np.maximum(bits, np.uint64(1)) - np.uint64(1)))
+        out = np.where(near, 64 * lane + low + at, out)
+    return out
+
+
+def _linked(x: np.ndarray, entry: np.ndarray | int, segments: int, radius: int) -> np.ndarray:
+    """Whether differing bits x are a link that counts in the entry."""
+    out = np.bitwise_count(x).sum(-1) <= radius
+    at = np.flatnonzero(out)
+    out[at] = _own_entry(x[at], segments) == (entry[at] if isinstance(entry, np.ndarray) else entry)
+    return out
 
 
-def _forest(f: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Edges that connect what links within radius connect: each reached fingerprint takes the unreached ones near it."""
+def _forest(f: np.ndarray, entry: int, segments: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges that connect what the entry's links connect: each reached fingerprint takes the unreached ones that it links to."""
     left = np.arange(len(f))
     while len(left):
         front, left = [left[0]], left[1:]
         while front and len(left):
             at = front.pop()
-            hit = _near(f[left], f[at], radius)
+            hit = _linked(f[left] ^ f[at], entry, segments, radius)
             found, left = left[hit], left[~hit]
             front.extend(found.tolist())
             if len(found):
                 yield np.full(len(found), at), found
 
 
-def _compare(key: np.ndarray, f: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _compare(key: np.ndarray, f: np.ndarray, segments: int, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Edges inside runs of equal keys (sorted, each run whole and of at most BUCKET rows)."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     counts = np.diff(np.r_[starts, len(key)])
-    few = np.repeat(counts <= FEW, counts)
+    few, entries = np.repeat(counts <= FEW, counts), key >> 32
     out = []
     for step in range(1, min(int(counts.max(initial=1)), FEW)):
         at = np.flatnonzero((key[step:] == key[:-step]) & few[step:])
-        at = at[_near(f[at], f[at + step], radius)]
+        at = at[_linked(f[at] ^ f[at + step], entries[at], segments, radius)]
         out.append((at, at + step))
     for s, n in zip(starts[counts > FEW], counts[counts > FEW], strict=True):
-        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], radius)]
+        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], int(entries[s]), segments, radius)]
     return out
 
 
@@ -164,7 +184,7 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
                     yield batch(k[s : s + n], f[s : s + n], f[s : s + n])
                 small = np.repeat(counts <= BUCKET, counts)
                 k, f = k[small], f[small]
-                pairs = _compare(k, f, radius) if len(k) > 1 else []
+                pairs = _compare(k, f, segments, radius) if len(k) > 1 else []
                 a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, int) for i in (0, 1))
                 if len(a):
                     yield batch(np.full(len(a), -1, np.int64), f[a], f[b])
@@ -178,7 +198,7 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
 
     def block(table: pa.Table) -> pa.Table:
         f = np.stack([table.column(n).to_numpy() for n in names], 1).view(np.uint64)
-        pairs = list(_forest(f, radius))
+        pairs = list(_forest(f, table.column("k")[0].as_py() >> 32, segments, radius))
         a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, int) for i in (0, 1))
         return pa.Table.from_batches([batch(np.full(len(a), -1, np.int64), f[a], f[b])])
 
