@@ -42,12 +42,14 @@ def blocks(text: str) -> list[bytes]:
 
 
 def train_dictionary(texts: list[str]) -> bytes:
-    """A trained dictionary; of too little text for training, the text itself."""
+    """A trained dictionary; where training has too little text, or (as with text that repeats itself) finds less than half of what fits, the text itself, of all texts alike."""
     samples = [b for t in texts for b in blocks(t) if len(b) >= 8]
     try:
-        return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
+        made = zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(samples)[-DICTIONARY:]
+        made = b""
+    share = max(64, DICTIONARY // max(1, len(texts)))
+    return made if 2 * len(made) >= DICTIONARY else b"".join(t.encode()[:share] for t in texts)[-DICTIONARY:]
 
 
 @lru_cache(8)
@@ -72,6 +74,7 @@ def differences(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
 
 def train(rows: list[tuple[str, int]]) -> Model:
     """Dictionaries from every other text of a kind, the calibration from the rest; from all if a kind has fewer than four."""
+    rows = sorted(rows)  # the fit does not depend on the order of its rows
     kinds = {y: [t for t, k in rows if k == y] for y in (1, 0)}
     split = min(map(len, kinds.values())) >= 4
     good, bad = (train_dictionary(kinds[y][::2] if split else kinds[y]) for y in (1, 0))
@@ -86,7 +89,7 @@ def scores(texts: list[str], model: Model) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     sample = labelled_sample(docs, labels, "quality", crc_rest("doc_id", 5) == 0, rows).collect()
-    return train(sorted((r["text"], int(r["y"] > 0)) for r in sample))
+    return train([(r["text"], int(r["y"] > 0)) for r in sample])
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

@@ -256,6 +256,7 @@ def learn_units(texts: list[tuple[set[str], int]]) -> tuple[tuple[str, bool, str
 
 def train(rows: list[tuple[str, int]]) -> Model:
     """Each half's features come from the units of the other half; the units that stay come from both."""
+    rows = sorted(rows)  # the fit does not depend on the order of its rows
     halves = rows[::2], rows[1::2]
     texts = families(halves[0]), families(halves[1])
     x, y = [], []
@@ -269,7 +270,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     sample = labelled_sample(docs, labels, "toxic", crc_rest("doc_id", 4) == 2, rows).collect()
-    return train(sorted((r["text"], int(r["y"] > 0)) for r in sample))
+    return train([(r["text"], int(r["y"] > 0)) for r in sample])
 
 
 def scores(texts: list[str], model: Model) -> np.ndarray:
