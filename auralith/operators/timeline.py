@@ -1,28 +1,31 @@
 """Turn timelines, speaker drift and turn gaps."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from auralith.dims import BARGE_IN_DEPTH, DRIFT_TARGETS, GAPS, OVERLAP_CHANCES, OVERLAP_DEPTH, PAUSE_CHANCE, frame, uniform
 
-TURNS = Window.partitionBy("scene").orderBy("idx")
+
+def _turns() -> WindowSpec:
+    return Window.partitionBy("scene").orderBy("idx")
+
 
 
 def previous_turn(turns: DataFrame) -> DataFrame:
     """W7."""
-    return turns.select("scene", "idx", F.lag("role").over(TURNS).alias("prev_role"), F.lag("intensity").over(TURNS).alias("prev_intensity"))
+    return turns.select("scene", "idx", F.lag("role").over(_turns()).alias("prev_role"), F.lag("intensity").over(_turns()).alias("prev_intensity"))
 
 
 def script_timeline(turns: DataFrame, gap: float = 0.25) -> DataFrame:
     """Onsets and offsets by a running sum; overlapping turns add no gap."""
     step = F.when(F.col("intensity") < 4, F.lit(gap)).otherwise(F.lit(0.0)) + F.col("seconds")
-    end = F.sum(step).over(TURNS.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    end = F.sum(step).over(_turns().rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return turns.select("scene", "idx", F.round(end - F.col("seconds"), 6).alias("onset"), F.round(end, 6).alias("offset"))
 
 
 def truncated_by_next(turns: DataFrame) -> DataFrame:
     """The next turn barges in (intensity 5 here), or the turn is empty."""
-    return turns.select("scene", "idx", (F.coalesce(F.lead("intensity").over(TURNS) == 5, F.lit(False)) | (F.col("seconds") == 0)).alias("truncated"))
+    return turns.select("scene", "idx", (F.coalesce(F.lead("intensity").over(_turns()) == 5, F.lit(False)) | (F.col("seconds") == 0)).alias("truncated"))
 
 
 def speaker_drift(turns: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def turn_gaps(turns: DataFrame, seed: int = 42) -> DataFrame:
     chances = frame(spark, OVERLAP_CHANCES, "c_prev string, c_role string, c_intensity int, barge double, overlap double")
     gaps = frame(spark, GAPS, "context string, low double, high double")
     draw = lambda k: uniform(F.lit(str(seed)), F.col("scene").cast("string"), F.col("idx").cast("string"), F.lit(k))
-    rows = turns.withColumn("prev_role", F.lag("role").over(TURNS)).withColumn("prev_i", F.lag("intensity").over(TURNS))
+    rows = turns.withColumn("prev_role", F.lag("role").over(_turns())).withColumn("prev_i", F.lag("intensity").over(_turns()))
     rows = rows.join(chances, (F.col("prev_role") == F.col("c_prev")) & (F.col("role") == F.col("c_role")) & (F.col("intensity") == F.col("c_intensity")), "left")
     first = F.col("prev_role").isNull()
     mode = F.when(~first & (draw("roll") < F.col("barge")), "barge_in").when(~first & (draw("roll") < F.col("barge") + F.col("overlap")), "overlap").otherwise("sequential")
