@@ -102,13 +102,13 @@ def targeted() -> Transducer:
 
 
 def insults() -> Transducer:
-    """Weighs marked insults: a reported or negated one keeps a part of its weight, a target adds to it."""
+    """Weighs marked insults: a reported or negated one keeps a part of its weight, a target adds to the others."""
     moves = {(0, TARGET + "<"): (0, OTHER, 0.5)}
     for symbol, base in ((INSULT, 1.0), (WEAK, 0.6)):
         for n in ("", "-"):
             for r in ("", "~"):
                 for t in ("", ">"):
-                    moves[0, symbol + n + r + t] = (0, OTHER, base * (0.3 if n else 1) * (0.5 if r else 1) + (0.5 if t and not n else 0))
+                    moves[0, symbol + n + r + t] = (0, OTHER, base * (0.3 if n else 1) * (0.5 if r else 1) + (0.5 if t and not n and not r else 0))
     return Transducer(moves)
 
 
