@@ -15,10 +15,14 @@ def connected(edges: DataFrame) -> DataFrame:
     its parent's parent, so that the depth halves. Ends when a round changes nothing. Each round is checkpointed; aggregates combine
     before they shuffle, and no group of neighbours is gathered.
     """
-    both = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).where("u <> v").distinct())
-    state = checkpointed(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v")).select("node", F.least("node", "v").alias("parent")))
+    edges = checkpointed(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
+    state = edges.groupBy(F.col("u").alias("node")).agg(F.min("u").alias("parent")).union(edges.groupBy("v").agg(F.min("u")))
+    state = checkpointed(state.groupBy("node").agg(F.min("parent").alias("parent")))
     while True:
-        heard = both.join(state, F.col("v") == F.col("node")).groupBy("u").agg(F.min("parent").alias("heard"))
+        # both ends of an edge hear the smaller of their parents; edges are kept once, not once in each direction
+        ends = edges.join(state.select(F.col("node").alias("u"), F.col("parent").alias("pu")), "u").join(state.select(F.col("node").alias("v"), F.col("parent").alias("pv")), "v")
+        ends = ends.select("u", "v", F.least("pu", "pv").alias("p"))
+        heard = ends.groupBy("u").agg(F.min("p").alias("p")).union(ends.groupBy("v").agg(F.min("p"))).groupBy("u").agg(F.min("p").alias("heard"))
         low = state.join(heard, F.col("node") == F.col("u"), "left").select("node", F.col("parent").alias("was"), F.least("parent", "heard").alias("low"))
         told = low.groupBy(F.col("was").alias("u")).agg(F.min("low").alias("told"))
         low = checkpointed(low.join(told, F.col("node") == F.col("u"), "left").select("node", "was", F.least("low", "told").alias("low")))
