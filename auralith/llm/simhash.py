@@ -3,8 +3,8 @@
 A fingerprint bit is 1 if it is set in over half the hashes of a text's word shingles, repeats included. Fingerprints are cut into
 segments, fewer than the differing bits that still link, so that one segment differs by one bit at most if 2 * segments > radius.
 Each fingerprint is filed once for every bit position: the segment of that position without that bit. Fingerprints with an equal
-entry are compared in full. Equal fingerprints are filed once. An entry with many fingerprints yields a spanning forest
-of its links, not all pairs, and a link counts in one entry only; one with more than BUCKET is dealt out as pairs of blocks, which loses no link.
+entry are compared in full. Equal fingerprints are filed once. A link counts in one entry only; if that entry holds many fingerprints, it
+yields a spanning forest of all its links instead of pairs; one with more than BUCKET is dealt out as pairs of blocks, which loses no link.
 Links between fingerprints become components, whose name is the smallest doc_id in them.
 
 Cases: null text is empty; texts without words have fingerprint zero and link like others; a text with fewer words than a shingle is
@@ -15,6 +15,7 @@ name a component (null if all of it has none); an empty table gives an empty res
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import numpy as np
@@ -108,26 +109,31 @@ def _own_entry(x: np.ndarray, segments: int) -> np.ndarray:
     return out
 
 
-def _linked(x: np.ndarray, entry: np.ndarray | int, segments: int, radius: int) -> np.ndarray:
+def _linked(x: np.ndarray, entry: np.ndarray, segments: int, radius: int) -> np.ndarray:
     """Whether differing bits x are a link that counts in the entry."""
     out = np.bitwise_count(x).sum(-1) <= radius
     at = np.flatnonzero(out)
-    out[at] = _own_entry(x[at], segments) == (entry[at] if isinstance(entry, np.ndarray) else entry)
+    out[at] = _own_entry(x[at], segments) == entry[at]
     return out
 
 
-def _forest(f: np.ndarray, entry: int, segments: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Edges that connect what the entry's links connect: each reached fingerprint takes the unreached ones that it links to."""
-    left = np.arange(len(f))
+def _forest(f: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges that connect what all links connect: from the smallest fingerprint on, each reached one takes the unreached ones that it links to.
+
+    The order is that of the fingerprints, alike in every entry, so entries that hold the same fingerprints make the same edges.
+    """
+    order = np.lexsort(f.T[::-1])
+    g, left = f[order], np.arange(len(f))
     while len(left):
-        front, left = [left[0]], left[1:]
+        front, left = [int(left[0])], left[1:]
         while front and len(left):
-            at = front.pop()
-            hit = _linked(f[left] ^ f[at], entry, segments, radius)
+            at = heappop(front)
+            hit = np.bitwise_count(g[left] ^ g[at]).sum(-1) <= radius
             found, left = left[hit], left[~hit]
-            front.extend(found.tolist())
+            for i in found.tolist():
+                heappush(front, i)
             if len(found):
-                yield np.full(len(found), at), found
+                yield order[np.minimum(found, at)], order[np.maximum(found, at)]
 
 
 def _compare(key: np.ndarray, f: np.ndarray, segments: int, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -141,7 +147,7 @@ def _compare(key: np.ndarray, f: np.ndarray, segments: int, radius: int) -> list
         at = at[_linked(f[at] ^ f[at + step], entries[at], segments, radius)]
         out.append((at, at + step))
     for s, n in zip(starts[counts > FEW], counts[counts > FEW], strict=True):
-        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], int(entries[s]), segments, radius)]
+        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], radius)]
     return out
 
 
@@ -198,7 +204,7 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
 
     def block(table: pa.Table) -> pa.Table:
         f = np.stack([table.column(n).to_numpy() for n in names], 1).view(np.uint64)
-        pairs = list(_forest(f, table.column("k")[0].as_py() >> 32, segments, radius))
+        pairs = list(_forest(f, radius))
         a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, int) for i in (0, 1))
         return pa.Table.from_batches([batch(np.full(len(a), -1, np.int64), f[a], f[b])])
 
