@@ -11,23 +11,32 @@ from auralith.llm.common import checkpointed
 def connected(edges: DataFrame) -> DataFrame:
     """node, root (smallest node that it reaches) for the nodes of edges a, b.
 
-    Rounds of hooking and shortcutting: a node takes the smallest parent that its neighbours have, tells its own parent, and then points to
-    its parent's parent, so that the depth halves. Ends when a round changes nothing. Each round is checkpointed; aggregates combine
-    before they shuffle, and no group of neighbours is gathered.
+    Rounds of hooking and contraction: a node points to its smallest neighbour (itself if none is smaller), pointers are doubled until they
+    reach their roots, and the edges between different roots are the graph of the next round. Edges that lie inside a tree are not read
+    again. Every result is checkpointed; aggregates combine before they shuffle, and no group of neighbours is gathered.
+    An empty graph gives an empty result; loops and repeated edges are ignored.
     """
     edges = checkpointed(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
-    state = edges.groupBy(F.col("u").alias("node")).agg(F.min("u").alias("parent")).union(edges.groupBy("v").agg(F.min("u")))
-    state = checkpointed(state.groupBy("node").agg(F.min("parent").alias("parent")))
+    rounds = [_rooted(edges)]
     while True:
-        # both ends of an edge hear the smaller of their parents; edges are kept once, not once in each direction
-        ends = edges.join(state.select(F.col("node").alias("u"), F.col("parent").alias("pu")), "u").join(state.select(F.col("node").alias("v"), F.col("parent").alias("pv")), "v")
-        ends = ends.select("u", "v", F.least("pu", "pv").alias("p"))
-        heard = ends.groupBy("u").agg(F.min("p").alias("p")).union(ends.groupBy("v").agg(F.min("p"))).groupBy("u").agg(F.min("p").alias("heard"))
-        low = state.join(heard, F.col("node") == F.col("u"), "left").select("node", F.col("parent").alias("was"), F.least("parent", "heard").alias("low"))
-        told = low.groupBy(F.col("was").alias("u")).agg(F.min("low").alias("told"))
-        low = checkpointed(low.join(told, F.col("node") == F.col("u"), "left").select("node", "was", F.least("low", "told").alias("low")))
-        parents = low.select(F.col("node").alias("u"), F.col("low").alias("next"))
-        step = checkpointed(low.join(parents, F.col("low") == F.col("u")).select("node", "was", F.least("low", "next").alias("parent")))
-        state = step.select("node", "parent")
-        if step.where(F.col("parent") < F.col("was")).isEmpty():
-            return state.withColumnRenamed("parent", "root")
+        tree = rounds[-1]
+        ends = edges.join(tree.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u").join(tree.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v")
+        edges = checkpointed(ends.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).where("u <> v").distinct())
+        if edges.isEmpty():
+            break
+        rounds.append(_rooted(edges))
+    out = rounds[0]
+    for later in rounds[1:]:
+        out = out.join(later.select(F.col("node").alias("was"), F.col("root").alias("next")), F.col("root") == F.col("was"), "left").select("node", F.coalesce("next", "root").alias("root"))
+    return out
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """node, root: the end of each node's chain of smallest neighbours, for edges u < v."""
+    hooks = edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")).union(edges.select("u", "u").distinct())
+    tree = checkpointed(hooks.groupBy("node").agg(F.min("root").alias("root")))
+    while True:
+        step = checkpointed(tree.join(tree.select(F.col("node").alias("at"), F.col("root").alias("next")), F.col("root") == F.col("at")).select("node", F.col("root").alias("was"), F.col("next").alias("root")))
+        tree = step.select("node", "root")
+        if step.where("root < was").isEmpty():
+            return tree

@@ -117,10 +117,11 @@ def _linked(x: np.ndarray, entry: np.ndarray, segments: int, radius: int) -> np.
     return out
 
 
-def _forest(f: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _forest(f: np.ndarray, entry: int, segments: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Edges that connect what all links connect: from the smallest fingerprint on, each reached one takes the unreached ones that it links to.
 
-    The order is that of the fingerprints, alike in every entry, so entries that hold the same fingerprints make the same edges.
+    The order is that of the fingerprints, alike in every entry, so entries that hold the same fingerprints make the same edges. For that,
+    links that count in another entry are followed too, and neither entry nor segments matter.
     """
     order = np.lexsort(f.T[::-1])
     g, left = f[order], np.arange(len(f))
@@ -147,7 +148,7 @@ def _compare(key: np.ndarray, f: np.ndarray, segments: int, radius: int) -> list
         at = at[_linked(f[at] ^ f[at + step], entries[at], segments, radius)]
         out.append((at, at + step))
     for s, n in zip(starts[counts > FEW], counts[counts > FEW], strict=True):
-        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], radius)]
+        out += [(a + s, b + s) for a, b in _forest(f[s : s + n], int(entries[s]), segments, radius)]
     return out
 
 
@@ -204,7 +205,7 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
 
     def block(table: pa.Table) -> pa.Table:
         f = np.stack([table.column(n).to_numpy() for n in names], 1).view(np.uint64)
-        pairs = list(_forest(f, radius))
+        pairs = list(_forest(f, table.column("k")[0].as_py() >> 32, segments, radius))
         a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, int) for i in (0, 1))
         return pa.Table.from_batches([batch(np.full(len(a), -1, np.int64), f[a], f[b])])
 
