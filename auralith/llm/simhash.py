@@ -14,7 +14,7 @@ name a component (null if all of it has none); an empty table gives an empty res
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auralith.llm import jaccard
 from auralith.llm.common import checkpointed, map_texts
 from auralith.llm.components import connected
 
@@ -34,22 +35,37 @@ CHUNK = 65_535
 FEW, BUCKET, BLOCK = 16, 4096, 2048
 
 
-def fingerprint(text: str, words: int, lanes: int) -> list[int]:
-    """One 64-bit number for each lane, as signed integers; lane 0 hashes with XXH64, further lanes mix that hash again."""
+def _hash_chunks(text: str, words: int) -> Iterator[np.ndarray]:
+    """Hashes of the text's shingles, repeats included, at most CHUNK at once; none without words."""
     parts = text.encode().lower().split()
     if not parts:
-        return [0] * lanes
+        return
     joined = b" ".join(parts)
     ends = [e - 1 for e in accumulate(len(p) + 1 for p in parts)]
     starts = [0, *[e + 1 for e in ends[:-1]]]
     spans = list(zip(starts, ends[words - 1 :], strict=False)) or [(0, len(joined))]
     digest = xxhash.xxh64_digest
-    total = np.zeros(64 * lanes, np.int64)
     for at in range(0, len(spans), CHUNK):
-        hashes = np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in spans[at : at + CHUNK]]), ">u8")
+        yield np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in spans[at : at + CHUNK]]), ">u8")
+
+
+def shingles(text: str, words: int) -> np.ndarray:
+    """Hashes of all the text's shingles."""
+    return np.concatenate([np.zeros(0, np.uint64), *_hash_chunks(text, words)]).astype(np.uint64)
+
+
+def _print(chunks: Iterable[np.ndarray], lanes: int) -> list[int]:
+    total, n = np.zeros(64 * lanes, np.int64), 0
+    for hashes in chunks:
         mixed = np.stack([hashes, *[_mixed(hashes, lane) for lane in range(1, lanes)]], 1).astype(">u8")
         total += _bit_counts(np.unpackbits(mixed.view(np.uint8)).reshape(len(hashes), 64 * lanes))
-    return np.packbits(2 * total > len(spans)).view(">i8").tolist()
+        n += len(hashes)
+    return np.packbits(2 * total > n).view(">i8").tolist()
+
+
+def fingerprint(text: str, words: int, lanes: int) -> list[int]:
+    """One 64-bit number for each lane, as signed integers; lane 0 hashes with XXH64, further lanes mix that hash again."""
+    return _print(_hash_chunks(text, words), lanes)
 
 
 def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
@@ -241,14 +257,62 @@ def components(docs: DataFrame, words: int = 4, bits: int = 64, segments: int =
     return rows.join(grouped, [F.col(n) == F.col(f"__{n}") for n in names]).select("doc_id", *names, "component_id")
 
 
+def _signatures(docs: DataFrame, words: int, lanes: int, common: np.ndarray) -> DataFrame:
+    """doc_id, s0, s1 (name of the shingle set), n, first (see jaccard.named), f0.., of whole texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    def work(texts: list[str]) -> list[pa.Array]:
+        chunks = [list(_hash_chunks(t, words)) for t in texts]
+        sets = [jaccard.named(np.concatenate([np.zeros(0, np.uint64), *c]).astype(np.uint64), shared.value) for c in chunks]
+        made = np.array([_print(c, lanes) for c in chunks], np.int64).reshape(-1, lanes)
+        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())))]
+        return [*names, *[pa.array(made[:, i]) for i in range(lanes)]]
+
+    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, " + ", ".join(f"f{i} bigint" for i in range(lanes))
+    return map_texts(docs.select("doc_id", "text"), "text", schema, work).drop("text")
+
+
+def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: int = 8, radius: int = 20) -> DataFrame:
+    """s0, s1, doc_id, root: one row a shingle set, with its smallest doc_id and the smallest set that links of exact similarity connect it to.
+
+    Links between fingerprints are candidates only. Those that the sets confirm make groups; what is left to find are links between different groups,
+    and jaccard.candidates finds all that may be, so no link depends on a fingerprint.
+    """
+    lanes = bits // 64
+    prints = [f"f{i}" for i in range(lanes)]
+    hashes = lambda text: shingles(text, words)
+    rows = _signatures(docs, words, lanes, jaccard.common_hashes(docs, hashes))
+    # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
+    sets = rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "first")).alias("x"))
+    sets = checkpointed(sets.select("s0", "s1", "doc_id", "x.*"))
+    holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s")))
+    near = links(holders.select(*prints), bits, segments, radius)
+    for side in "ab":
+        on = [F.col(f"{side}{i}") == F.col(f"__f{i}") for i in range(lanes)]
+        near = near.join(holders.select(*[F.col(p).alias(f"__{p}") for p in prints], F.col("s").alias(side)), on).drop(*[f"__{p}" for p in prints])
+    same = sets.select("s0", "s1", *prints).join(holders, prints).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
+    near = near.select("a", "b").union(same).select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1")).toDF("a0", "a1", "b0", "b1")
+    sure = checkpointed(jaccard.linked(checkpointed(near), docs, sets, hashes))
+
+    def grouped(edges: DataFrame) -> DataFrame:
+        roots = connected(edges.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b")))
+        return sets.join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1")))
+
+    first = checkpointed(grouped(sure).select("s0", "s1", "n", "first", "doc_id", "root"))
+    # the first half of a root's name tells groups apart
+    maybe = checkpointed(jaccard.candidates(first.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
+    more = checkpointed(jaccard.linked(maybe, docs, sets, hashes))
+    out = first if more.isEmpty() else grouped(sure.union(more))
+    return out.select("s0", "s1", "doc_id", "root")
+
+
 def remove_duplicates(docs: DataFrame, columns: list[str], words: int = 5, bits: int = 128, segments: int = 8, radius: int = 20) -> DataFrame:
-    """The given columns of one document of each component: the one that names it. Of rows that repeat its doc_id, that with the smallest text stays.
+    """The given columns of one document of each group of near copies: the one with the smallest doc_id. Of rows that repeat it, that with the smallest text stays.
 
-    The defaults link a similarity (Jaccard, five words) of about 0.8: two such texts differ in a sixth of the bits or less.
+    Texts link if the exact Jaccard similarity of their word shingles is jaccard.SIMILAR or more (texts without words with each other).
     Rows without a doc_id stay.
     """
-    named = components(docs, words, bits, segments, radius)
-    chosen = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    chosen = similar_groups(docs, words, bits, segments, radius).groupBy("root").agg(F.min("doc_id").alias("__id")).where("__id IS NOT NULL").select("__id").distinct()
     kept = docs.select(*columns).join(chosen, F.col("doc_id") == F.col("__id"), "left_semi")
     first = Window.partitionBy("doc_id").orderBy("doc_id", "text")
     kept = kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")

@@ -118,6 +118,36 @@ def test_simhash_odd_rows(spark, odd):
     assert sorted(r["doc_id"] or 0 for r in kept) == [0, 1, 3, 4, 7]
 
 
+def test_near_dedup_counts_similarity(spark):
+    """Planted pairs on both sides of Jaccard 0.8, with fingerprints on both sides of 20 bits, against brute force."""
+    rng, texts = np.random.default_rng(5), []
+    for i in range(150):
+        w = [f"w{i}x{k}" for k in range(60 + i)]
+        texts.append(" ".join(w))
+        c = w.copy()
+        for k in rng.integers(0, len(w), rng.integers(1, 4)):
+            c[k] = f"y{i}x{k}"
+        texts.append(" ".join(c[: len(c) - int(rng.integers(0, 6))]))
+    texts += ["a common line that many of the texts hold " + " ".join(f"z{i}x{k}" for k in range(i % 30)) for i in range(60)]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    f = [simhash.fingerprint(t, 5, 2) for t in texts]
+    root, seen = list(range(len(texts))), Counter()
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            linked = 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both)
+            if both:
+                seen[linked, sum(((x ^ y) % 2**64).bit_count() for x, y in zip(f[a], f[b], strict=True)) <= 20] += 1
+            if linked:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert min(seen[True, False], seen[False, True]) > 2  # fingerprints alone are wrong in both ways
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = [r["doc_id"] for r in simhash.remove_duplicates(docs, ["doc_id", "text"]).collect()]
+    assert sorted(kept) == [i for i in range(len(texts)) if find(i) == i]
+
+
 def test_media_round_trip(spark, odd):
     for r in media_avi.store(odd).collect():
         data = (r["text"] or "").encode()
