@@ -4,8 +4,8 @@ Native: DataFrame functions only. Per document: counts over the whole text (null
 transformed to five near-Gaussian values; per group an h-subset covers three quarters of the documents, concentration steps
 (mean and covariance of the subset, distances, the closest three quarters again) shrink the covariance determinant, and a
 reweighted estimate gives the Mahalanobis distance that decides. A group is a language and source of at least MIN_GROUP
-documents, else its language, else all documents: small groups have no stable covariance. FLOORS are added to the variances,
-because most clean documents share the same zero in several statistics.
+documents, else its language, else all documents: small groups have no stable covariance. The estimates of a language and of all documents
+take all their rows, those of large sources too. FLOORS are added to the variances, because most clean documents share the same zero in several statistics.
 
 Cases: null text, lang or source are values like others (null text: no words, base_failed); ties and repeated rows are judged
 alike, each row by itself; an empty table gives an empty result; columns other than the four that are read are ignored.
@@ -83,7 +83,7 @@ def _vectors(stats: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """groups: (lang, source) -> group; estimates: group -> means and Cholesky factor. Small tables, checkpointed, with their counts."""
+    """groups: (lang, source) -> group that judges, feeds (groups whose estimates take the rows); estimates: group -> means and Cholesky factor. Small tables, checkpointed, with their counts."""
 
     groups: DataFrame
     n_groups: int
@@ -125,16 +125,19 @@ def _moments(rows: DataFrame, scale: Column) -> DataFrame:
 def fit(stats: DataFrame) -> Model:
     """Estimates from all rows that pass the base rules. stats: lang, source and what base_counts adds; narrow, and read several times."""
     rows = _vectors(stats).where(~F.col("base_failed"))
-    by_lang = Window.partitionBy("__l")
+    by_lang, everything = Window.partitionBy("__l"), Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     many = F.col("n") >= MIN_GROUP
     groups = rows.groupBy(F.col("lang").alias("__l"), F.col("source").alias("__s")).agg(F.count("*").alias("n"))
     groups = groups.withColumn("in_lang", F.sum("n").over(by_lang))
-    group = F.when(many, F.struct(F.lit(2).alias("level"), F.col("__l").alias("l"), F.col("__s").alias("s")))
-    group = group.when(F.col("in_lang") >= MIN_GROUP, F.struct(F.lit(1).alias("level"), F.col("__l").alias("l"), F.lit(None).cast("string").alias("s")))
-    group = group.otherwise(F.struct(F.lit(0).alias("level"), F.lit(None).cast("string").alias("l"), F.lit(None).cast("string").alias("s")))
-    groups = checkpointed(groups.select("__l", "__s", group.alias("group")))
+    none = F.lit(None).cast("string")
+    levels = [F.struct(F.lit(level).alias("level"), l.alias("l"), s.alias("s")) for level, l, s in ((0, none, none), (1, F.col("__l"), none), (2, F.col("__l"), F.col("__s")))]
+    groups = groups.withColumn("level", F.when(many, 2).when(F.col("in_lang") >= MIN_GROUP, 1).otherwise(0))
+    # a level is estimated where a source is judged by it, then from all rows that it covers
+    wanted = [F.min("level").over(everything) == 0, F.max((F.col("level") == 1).cast("int")).over(by_lang) == 1, F.col("level") == 2]
+    feeds = F.array_compact(F.array(*[F.when(w, g) for w, g in zip(wanted, levels, strict=True)]))
+    groups = checkpointed(groups.select("__l", "__s", F.get(F.array(*levels), F.col("level")).alias("group"), feeds.alias("feeds")))
     n_groups = groups.count()
-    rows = _grouped(rows, groups, n_groups)
+    rows = _grouped(rows, groups, n_groups).withColumn("group", F.explode("feeds")).drop("feeds")
 
     # start: medians, and quartile ranges as scales of uncorrelated values
     k = range(len(DIMS))
@@ -151,7 +154,7 @@ def fit(stats: DataFrame) -> Model:
         limit = F.greatest(F.lit(1.0), F.col("limit") / MEDIAN_5) * TAIL_5 if last else F.col("limit")
         near = join_small(far, limits, F.col("group").eqNullSafe(F.col("__h")), n).where(F.col("d2") <= limit)
         estimates = checkpointed(_factored(_moments(near, F.lit(1.0))))
-    return Model(groups, n_groups, estimates, n)
+    return Model(groups.drop("feeds"), n_groups, estimates, n)
 
 
 def judge(stats: DataFrame, model: Model) -> DataFrame:

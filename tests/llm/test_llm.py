@@ -64,6 +64,16 @@ def test_quality_counts(spark, odd):
         assert r["base_failed"] == (len(w) < 20 or 100 * covered.sum() > 30 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
+def test_quality_fallback_takes_all_rows(spark):
+    """Sources and languages below MIN_GROUP are judged by estimates of the whole language and the whole table, not by themselves."""
+    rng = np.random.default_rng(3)
+    prose = lambda: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(60))
+    junk = lambda: " ".join(f"#$|{'x' * 40}&%{k}" for k in rng.integers(0, 10**6, 60))
+    rows = [(i, prose(), "en", "big") for i in range(500)] + [(1000, junk(), "en", "lone"), (1001, prose(), "en", "small"), (1002, junk(), "fr", "lone"), (1003, prose(), "de", "small")]
+    got = {r["doc_id"]: r["kept"] for r in rules_mcd.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [got[i] for i in (1000, 1001, 1002, 1003)] == [False, True, False, True] and sum(got[i] for i in range(500)) > 490
+
+
 def test_mixture_matches_sql(spark, odd):
     for docs in (spark.read.parquet(f"{DATA}/documents.parquet"), odd, odd.limit(0)):
         documents = docs.select("doc_id", "text", "source").toPandas()  # noqa: F841
