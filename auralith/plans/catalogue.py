@@ -257,3 +257,26 @@ def unknown_codes(spark: SparkSession, d: str) -> DataFrame:
 def listing(spark: SparkSession, d: str) -> DataFrame:
     host = F.regexp_extract("url", "://([^/?#]*)", 1)
     return V.read(spark, d, "pages").groupBy(host.alias("host")).agg(F.count("*").alias("files"), F.count_if(F.col("url").contains(".html")).alias("html_files"))
+
+
+def whole(name: str, f, recursive: bool = False) -> None:
+    """NAME_all: the query on the clip speakers of every row of lineitem, its SQL on the same view; none where that is recursive and would not end."""
+    QUERIES[f"{name}_all"] = f
+    if not recursive:
+        own = V.VIEWS["v_clip_speaker"]
+        SQL[f"{name}_all"] = SQL[name].replace(own, V.VIEWS["v_clip_speaker_all"])
+
+
+def _planned(spark: SparkSession, d: str) -> DataFrame:
+    clips = V.clips(spark, d)
+    return labels.manifest(clips, V.clip_speakers_all(spark, d), clips.where("split <> 'unassigned'").select("clip", "split"))
+
+
+whole("A3_distinct_speakers", lambda spark, d: qa.distinct_speakers(V.clip_speakers_all(spark, d)))
+whole("A8_voices_by_gender", lambda spark, d: qa.voices_by_gender(V.clip_speakers_all(spark, d)))
+whole("A24_run_warnings", lambda spark, d: qa.run_warnings(V.clip_speakers_all(spark, d), V.events(spark, d)))
+whole("C3_manifest", _planned)
+whole("J5_anti", lambda spark, d: V.clips(spark, d).join(V.clip_speakers_all(spark, d), "clip", "left_anti").select("clip"))
+whole("J4_semi", lambda spark, d: V.clips(spark, d).join(V.clip_speakers_all(spark, d), "clip", "left_semi").select("clip"))
+whole("G1_components", lambda spark, d: graph.components(V.clip_speakers_all(spark, d)), recursive=True)
+whole("G1_splits", lambda spark, d: graph.splits(graph.components(V.clip_speakers_all(spark, d))), recursive=True)

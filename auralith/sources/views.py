@@ -47,6 +47,7 @@ VIEWS = {
     "v_turn_metrics_big": "SELECT " + ", ".join(_metrics_big()) + " FROM lineitem",
     "v_clip": "SELECT " + ", ".join(_clip()) + " FROM orders",
     "v_clip_speaker": "SELECT DISTINCT l_orderkey AS clip, l_suppkey AS speaker FROM lineitem WHERE l_partkey % 50 = 0",
+    "v_clip_speaker_all": "SELECT DISTINCT l_orderkey AS clip, l_suppkey AS speaker FROM lineitem",
     "v_turn": "SELECT " + ", ".join(_turn()) + " FROM conversations",
 }
 
@@ -71,6 +72,11 @@ def clip_speakers(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "lineitem").where("l_partkey % 50 = 0").select(F.col("l_orderkey").alias("clip"), F.col("l_suppkey").alias("speaker")).distinct()
 
 
+def clip_speakers_all(spark: SparkSession, d: str) -> DataFrame:
+    """From every row of lineitem; clip_speakers takes those of one part in 50."""
+    return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("clip"), F.col("l_suppkey").alias("speaker")).distinct()
+
+
 def turns(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "conversations").selectExpr(*_turn())
 
