@@ -23,7 +23,7 @@ from auralith.llm.common import checkpointed
 
 #: (verdict, host, path) as the contract states them.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-DAMPING, STEPS, EVERY, ENOUGH = 0.85, 12, 4, 1e-6
+DAMPING, EVERY, ENOUGH = 0.85, 6, 1e-6
 MARGIN, FLOOR = 1.0, 0.0
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -58,27 +58,26 @@ def host_edges(parsed: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """host, rank: personalised PageRank. seeds: host, seed (sum 1, or empty). What a host without edges holds goes back to the seeds."""
+    """host, rank: personalised PageRank. seeds: host, seed (sum 1, or empty). What a host without edges holds goes back to the seeds.
+
+    All that goes back goes to the seeds alike, so the ranks are in proportion to what one start brings to each host, the sum of its steps; each step
+    is at most DAMPING of the one before. The walk ends when all steps to come are below ENOUGH of the sum. Hosts that only those reach (85 links or more) have no rank.
+    """
     out = F.sum("weight").over(Window.partitionBy("src"))
-    edges = checkpointed(edges.select("src", "dst", (F.col("weight") / out).alias("share")))
-    seeds = checkpointed(seeds)
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    for step in range(1, STEPS + 1):
-        moved = rank.join(edges, F.col("host") == F.col("src")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("moved"))
-        both = moved.select(F.col("dst").alias("host"), (DAMPING * F.col("moved")).alias("rank"), F.lit(0.0).alias("seed")).union(seeds.select("host", F.lit(0.0), "seed"))
-        # the walk that doesn't move on, by damping or for want of edges, starts again; its total is the same for all rows
-        kept = both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("seed").alias("seed"))
-        if step % EVERY and step < STEPS:
-            rank = kept.select("host", (F.col("rank") + (1 - DAMPING) * F.col("seed")).alias("rank"))
-            continue
-        kept = checkpointed(kept)
-        back = 1.0 - (kept.agg(F.sum("rank")).first()[0] or 0.0)
-        after = kept.select("host", (F.col("rank") + back * F.col("seed")).alias("rank"))
-        change = after.join(rank.withColumnRenamed("rank", "was"), "host", "full").agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))).first()[0]
-        rank = checkpointed(after)
-        if (change or 0.0) < ENOUGH:
-            break
-    return rank
+    moves = edges.select("src", "dst", (DAMPING * F.col("weight") / out).alias("share"))
+    hosts = seeds.select("host").union(edges.select("src")).union(edges.select("dst")).distinct()
+    # an edge to itself without a share takes a host's sum on
+    moves = checkpointed(moves.union(hosts.select("host", F.col("host").alias("dst"), F.lit(None).cast("double"))))
+    walk = checkpointed(seeds.select("host", F.col("seed").alias("step"), F.lit(0.0).alias("sum")))
+    while True:
+        for _ in range(EVERY):
+            stays = F.col("share").isNull()
+            moved = walk.join(moves, F.col("host") == F.col("src")).select(F.col("dst").alias("host"), F.when(stays, 0.0).otherwise(F.col("step") * F.col("share")).alias("step"), F.when(stays, F.col("sum") + F.col("step")).otherwise(0.0).alias("sum"))
+            walk = moved.groupBy("host").agg(F.sum("step").alias("step"), F.sum("sum").alias("sum"))
+        walk = checkpointed(walk)
+        step, total = (v or 0.0 for v in walk.agg(F.sum("step"), F.sum("sum")).first())
+        if step / (1 - DAMPING) <= ENOUGH * total:
+            return walk.select("host", ((F.col("sum") + F.col("step")) / (total + step or 1.0)).alias("rank")).where("rank > 0")
 
 
 def _seeds(judged: DataFrame, verdict: str) -> DataFrame:

@@ -191,6 +191,27 @@ def test_url_rules_and_ranks(spark):
     assert got == {1: ("www.example.com", "www.example.com/en/", "allow"), 2: ("example.com", "example.com/en/", "block"), 3: ("bad.net", "net/es/", "block"), 4: ("friend.org", None, "block"), 5: ("far.org", None, "allow"), 6: ("", None, "allow"), 7: ("", None, "allow"), 8: ("shop.com", "com/", "allow")}
 
 
+def test_url_walk_converges(spark):
+    """A cycle, a host without out-edges and a chain longer than a few steps, against the dense solution; the chain's far end is blocked."""
+    links = [("a", "b"), ("b", "a"), ("b", "c"), ("a", "dead"), *[(f"c{i}", f"c{i + 1}") for i in range(30)], ("c", "c0")]
+    names = sorted({h for e in links for h in e})
+    at = {h: i for i, h in enumerate(names)}
+    p, seed = np.zeros((len(names), len(names))), np.zeros(len(names))
+    for s, d in links:
+        p[at[d], at[s]] += 1
+    seed[at["a"]], seed[at["c5"]] = 0.75, 0.25
+    dead = p.sum(0) == 0
+    p[:, ~dead] /= p[:, ~dead].sum(0)
+    p[:, dead] = seed[:, None]
+    want = np.linalg.solve(np.eye(len(names)) - 0.85 * p, 0.15 * seed)
+    edges = spark.createDataFrame([(*e, 1.0) for e in links], "src string, dst string, weight double")
+    got = {r["host"]: r["rank"] for r in url_filter.propagate(edges, spark.createDataFrame([("a", 0.75), ("c5", 0.25)], "host string, seed double")).collect()}
+    assert max(abs(got.get(h, 0.0) - want[at[h]]) for h in names) < 1e-6
+    pages = [(0, "http://bad.net/es/1", "")] + [(i, f"http://h{i}.org/", f'<a href="http://{f"h{i - 1}.org" if i > 1 else "bad.net"}/">') for i in range(1, 21)]
+    out = url_filter.filtered(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["verdict"] for r in out} == {"block"}
+
+
 def held_out(column, of, rest):
     rows = duckdb.sql(f"SELECT doc_id, text, {column} FROM '/root/testdata/sf0.1/documents.parquet' JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY doc_id").fetchall()
     out = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % of == rest]
