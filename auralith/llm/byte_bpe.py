@@ -18,6 +18,7 @@ from itertools import chain
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -189,7 +190,7 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str
     path = path or public_tokenizers.path(RANKS)
 
     @F.pandas_udf("binary")
-    def read(lists: pd.Series) -> pd.Series:  # noqa: F821
+    def read(lists: pd.Series) -> pd.Series:
         return lists.map(lambda x: b"" if x is None else codec(path).decode([*x]))
 
     return df.withColumn(decoded, read(F.col(ids)))

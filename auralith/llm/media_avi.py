@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -369,7 +370,7 @@ def clips(files: DataFrame, key: str, media: str = "media") -> DataFrame:
     """The key, clip, start_s, end_s, frames: a row for each shot of each file (null media: none)."""
 
     @F.pandas_udf(CLIPS)
-    def read(column: pd.Series) -> pd.Series:  # noqa: F821
+    def read(column: pd.Series) -> pd.Series:
         return column.map(lambda x: [] if x is None else clip_rows(x))
 
     return files.select(F.col(key), F.explode(read(F.col(media))).alias("c")).select(key, "c.*")

@@ -173,6 +173,13 @@ def test_media_round_trip(spark, odd):
         media_avi.read_avi(b"no file")
 
 
+def test_decode_and_clips_run(spark, odd):
+    made = byte_bpe.decode(byte_bpe.round_trip(odd).drop("decoded")).collect()
+    assert sorted(bytes(r["decoded"]) for r in made) == sorted((r[1] or "").encode() for r in ODD)
+    stored = media_avi.store(odd)
+    assert media_avi.clips(stored, "doc_id").count() == sum(len(r["clips"]) for r in stored.collect())
+
+
 def test_html():
     page = "<style>.x{display:none}</style><p>one<p>two &amp; three<ul><li>a<li>b</ul><div class=x>no</div><p hidden>no</p><script>no</script><table><tr><th>Name<th>Qty<tr><td>apple<td>3</table><pre>a\n  b</pre>"
     assert html_render.render(page) == "one\n\ntwo & three\n\n- a\n- b\n\nName   Qty\napple  3\n\na\n  b"
