@@ -3,7 +3,8 @@
 A text is cut into blocks, so that a dictionary keeps its weight in long texts; all blocks count. The difference of the two sizes over
 their sum is calibrated by logistic regression on labelled texts that neither dictionary has seen.
 
-The fit takes at most FIT_ROWS labelled documents (chosen by a hash of doc_id, outside the held-out part), whole texts; it doesn't grow with
+The fit takes at most FIT_ROWS labelled documents (chosen by a hash of doc_id, outside the held-out part), whole texts; where training a dictionary fails, 64 KB of
+pieces from all over them stand in. It doesn't grow with
 the corpus. Cases: null and empty texts have all features 0 and get their calibrated score; repeated rows score alike; without labels of
 both kinds each text gets the smoothed rate of the kind there is (one half without any label); an empty table gives an empty result; columns
 other than doc_id and text are ignored.
@@ -17,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from auralith.llm.calibration import fit_logistic, sigmoid
 from auralith.llm.common import crc_rest, labelled_sample, map_texts
 
 FIT_ROWS = 4000
-BLOCK, DICTIONARY, LEVEL = 4096, 65_536, 3
+BLOCK, PIECE, DICTIONARY, LEVEL = 4096, 256, 65_536, 3
 STEPS = (0.0, 0.2, 0.3, 0.4, 0.5, 1.0)
 
 
@@ -42,14 +44,17 @@ def blocks(text: str) -> list[bytes]:
 
 
 def train_dictionary(texts: list[str]) -> bytes:
-    """A trained dictionary; where training has too little text, or (as with text that repeats itself) finds less than half of what fits, the text itself, of all texts alike."""
+    """A trained dictionary; where training has too little text, or (as with text that repeats itself) finds less than half of what fits,
+    different pieces from all over all texts, chosen by hash."""
     samples = [b for t in texts for b in blocks(t) if len(b) >= 8]
     try:
         made = zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
         made = b""
-    share = max(64, DICTIONARY // max(1, len(texts)))
-    return made if 2 * len(made) >= DICTIONARY else b"".join(t.encode()[:share] for t in texts)[-DICTIONARY:]
+    if 2 * len(made) >= DICTIONARY:
+        return made
+    pieces = {data[i : i + PIECE] for data in map(str.encode, texts) for i in range(0, len(data), PIECE)}
+    return b"".join(sorted(pieces, key=lambda p: (xxhash.xxh64_digest(p), p))[: DICTIONARY // PIECE])
 
 
 @lru_cache(8)
