@@ -186,6 +186,16 @@ def test_html():
     assert html_render.render("") == "" and html_render.render("<div>" * 5000 + "x") == "x"
 
 
+def test_html_shows_drawn_text_and_forms():
+    show = html_render.render
+    assert show("<p>a <svg><title>no</title><defs><text>no</text></defs><g><text>one</text><text>two</text></g></svg> b") == "a one two b"
+    assert show("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>") == "x y=2"
+    assert show("<p><textarea>typed &amp; kept</textarea>") == "typed & kept"
+    assert show("<p><select><option>first<option selected>second<option>third</select>") == "second"
+    assert show("<p><select><option>first<option>second</select>") == "first"
+    assert show("<select multiple><option>first<option>second</select>") == "first\nsecond"
+
+
 def test_licences(spark):
     files = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c/f.txt", "nothing"), (3, "a/b/g.txt", "code\nLicensed under the Apache License, Version 2.0."), (4, "z/h.txt", None), (5, None, ""), (6, "a/b/COPYING", "unclear words about nothing")]
     got = {r["doc_id"]: (r["licence"], r["origin"]) for r in license_scan.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
@@ -225,6 +235,12 @@ def held_out(column, of, rest):
     return [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % of != rest][:2000], out
 
 
+def test_fallback_dictionary_is_from_all_over():
+    texts = ["same start " * 300 + f"mark{i} " * 100 for i in range(40)]
+    made = quality_zstd.train_dictionary(texts)
+    assert len(made) <= quality_zstd.DICTIONARY and all(f"mark{i} ".encode() in made for i in range(40))
+
+
 def test_quality_classifier_held_out():
     train, test = held_out("quality", 5, 0)
     p = quality_zstd.scores([t for t, _ in test], quality_zstd.train(train)) >= 0.3
