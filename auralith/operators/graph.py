@@ -1,17 +1,9 @@
 """Speaker-disjoint splits: connected components over shared speakers, hash-ordered groups, prefix fill."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage in the folder that spark.checkpoint.dir names; a folder of our own only where that is unset."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="auralith-"))
-    return df.checkpoint()
+from auralith.session import checkpointed
 
 
 def components(pairs: DataFrame) -> DataFrame:

@@ -1,8 +1,32 @@
-"""Session with the settings that the operators expect."""
+"""Session with the settings that the operators expect, and the shared folder for checkpoints."""
 
-from pyspark.sql import SparkSession
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str = "local[*]", **conf: str) -> SparkSession:
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.ui.enabled": "false"}
+    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true",
+                "spark.cleaner.referenceTracking.cleanCheckpoints": "true", "spark.ui.enabled": "false"}
     return SparkSession.builder.master(master).config(map=settings | conf).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's folder inside the one that spark.checkpoint.dir names. Where that is unset, a folder of our own in local mode, as in tests, and an
+    error on a cluster, whose machines share no temporary folder."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+            folder = tempfile.mkdtemp(prefix="auralith-")
+        context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts lineage in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
