@@ -18,14 +18,13 @@ from itertools import chain
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import map_texts
+from auralith.llm.common import map_texts, map_values
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Entries of a generation of a worker's memo of pieces, and of its memo of pairs, which is emptied when full.
@@ -92,28 +91,28 @@ class Codec:
         self.pieces = Pieces(self)
 
     def _compatible(self, left: int, right: int) -> bool:
-        """Whether the merges can end with these two side by side: no merge across their border comes before those inside them."""
-        merged, halves, limit = self.merged, self.halves, len(self.tokens)
-        while True:
-            if merged.get((left, right), limit) < limit:
-                return False
-            # undo the later of the two merges that touch the border
-            if left > right:
-                whole, left = left, halves[left][1]
-                limit = whole
-                if left == whole:
-                    whole, right = right, halves[right][0]
-                    limit = whole + 1
-                    if right == whole:
-                        return True
-            else:
-                whole, right = right, halves[right][0]
-                limit = whole + 1
-                if right == whole:
-                    whole, left = left, halves[left][1]
-                    limit = whole
-                    if left == whole:
-                        return True
+        """Whether the merges can end with these two side by side: no merge across their border comes before those inside them.
+
+        Only the parts that touch the border matter: on the left each token's right halves, on the right the left halves. A part stands at the border
+        from the merge that makes it (its own rank) until the merge that takes it up (the rank of the part around it). Two parts that stand there at the same
+        time must have no merge, or one that comes after either is taken up; of two merges of one rank the left one comes first.
+        """
+        ranks = len(self.tokens)
+        lefts, rights = self._border(left, 1), self._border(right, 0)
+        for a, a_end in lefts:
+            for b, b_end in rights:
+                made = self.merged.get((a, b))
+                if made is not None and made < (a_end if a_end is not None else ranks) and made <= (b_end if b_end is not None else ranks):
+                    return False
+        return True
+
+    def _border(self, token: int, side: int) -> list[tuple[int, int | None]]:
+        """The parts of a token that touch its right (side 1) or left (side 0) end, each with the token that takes it up (none for the whole)."""
+        out, around = [(token, None)], token
+        while (part := self.halves[around][side]) != around:
+            out.append((part, around))
+            around = part
+        return out
 
     def compatible(self, left: int, right: int) -> bool:
         pair = (left, right)
@@ -133,27 +132,28 @@ class Codec:
         longest = [0] * n
         for end, token in self.automaton.iter(piece.decode("latin-1")):  # of those that begin at a byte, the longest ends last
             longest[end + 1 - lengths[token]] = token
-        laid: list[int] = []
-        dead = bytearray(n + 1)
-        at, token = 0, longest[0]
+        # the last of the laid tokens is on trial; a position whose tokens all failed is never tried again
+        laid, starts, failed = [longest[0]], [0], bytearray(n + 1)
         while True:
-            end = at + lengths[token]
-            if not dead[end] and (not laid or compatible(laid[-1], token)):
-                laid.append(token)
+            end = starts[-1] + lengths[laid[-1]]
+            if not failed[end] and (len(laid) == 1 or compatible(laid[-2], laid[-1])):
                 if end == n:
                     return tuple(laid)
-                at, token = end, longest[end]
-            elif shorter[token] >= 0:
-                token = shorter[token]
-            else:
-                dead[at] = 1
-                token = laid.pop()
-                at -= lengths[token]
+                starts.append(end)
+                laid.append(longest[end])
+                continue
+            while shorter[laid[-1]] < 0:
+                failed[starts.pop()] = 1
+                laid.pop()
+            laid[-1] = shorter[laid[-1]]
 
     def encode(self, text: str) -> np.ndarray:
         return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
+        """The bytes of the ids; none for those that the file doesn't have."""
+        if len(ids) and not (min(ids) >= 0 and max(ids) < len(self.tokens)):
+            ids = [i for i in ids if 0 <= i < len(self.tokens)]
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
@@ -186,14 +186,13 @@ def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str
 
 
 def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
-    """Appends the bytes of each list of ids (null: no bytes)."""
+    """Appends the bytes of each list of ids (null list: no bytes; an id that the file doesn't have, or null: none for it)."""
     path = path or public_tokenizers.path(RANKS)
 
-    @F.pandas_udf("binary")
-    def read(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda x: b"" if x is None else codec(path).decode([*x]))
+    def work(lists: list) -> list[pa.Array]:
+        return [pa.array([codec(path).decode([i for i in x or () if i is not None]) for x in lists], pa.binary())]
 
-    return df.withColumn(decoded, read(F.col(ids)))
+    return map_values(df, ids, f"{decoded} binary", work)
 
 
 def _lists(made: list[np.ndarray]) -> pa.ListArray:

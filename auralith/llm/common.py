@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
+import pickle
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from auralith.session import checkpointed, shared_folder
+
 #: The most rows of a table that is sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 20_000
 #: Rows that a Python operator holds at once; long texts shorten its output batches further.
@@ -17,24 +22,35 @@ SLICE_ROWS, SLICE_BYTES = 512, 4_000_000
 #: White space as the word rules of these operators define it (a Java, RE2 and Python character class).
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with so many rows is joined by broadcast where it is among the BROADCAST_ROWS most frequent.
+HEAVY = 500
+#: Bounds of a fit's sample: bytes of a text that takes part, and of all texts.
+FIT_TEXT_BYTES, FIT_BYTES = 262_144, 24_000_000
+_STORED: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's folder inside the one that spark.checkpoint.dir names; a folder of our own only where that is unset, as in tests."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="auralith-"))
-    return context._jsc.sc().getCheckpointDir().get()
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written as a table in the shared folder and read again: cuts lineage like a checkpoint, and later readers take only the columns they need."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.append(path)
+    return df.sparkSession.read.parquet(path)
+
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+
+def drop_stored(spark: SparkSession) -> None:
+    """Deletes the tables that stored() has written so far; to be called when nothing reads them any more."""
+    while _STORED:
+        delete(spark, _STORED.pop())
 
 
 def join_small(left: DataFrame, small: DataFrame, on: Column, rows: int, how: str = "left") -> DataFrame:
@@ -42,10 +58,33 @@ def join_small(left: DataFrame, small: DataFrame, on: Column, rows: int, how: st
     return left.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, on, how)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int) -> DataFrame:
-    """(text, y) of at most `rows` labelled documents outside `held_out`, chosen by a hash of doc_id; the bound is the fit's parameter.
+def heavy_keys(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """The keys with more than HEAVY rows, at most BROADCAST_ROWS of them, the most frequent, and the salts that join_skewed deals each over. counts: a row a key, n its rows."""
+    most = counts.where(F.col(n) > HEAVY).orderBy(F.desc(n), *keys).limit(BROADCAST_ROWS)
+    return checkpointed(most.select(*keys, F.ceil(F.col(n) / HEAVY).cast("int").alias("salts")))
+
+
+def hot_values(rows: DataFrame, *columns: str) -> DataFrame:
+    """hot, salts: the values that the columns hold in more than HEAVY places (see heavy_keys)."""
+    return heavy_keys(rows.select(F.explode(F.array(*columns)).alias("hot")).groupBy("hot").agg(F.count("*").alias("n")), ["hot"], "n")
+
+
+def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """left joined (inner or left) to right, which has one row for each value of the keys. The rows of a heavy key are dealt over its salts and right's row is
+    repeated for each of them, so that no task gets a key's rows all. heavy: the keys and their salts in this order, from heavy_keys. Null keys meet nothing."""
+    known = F.broadcast(heavy.toDF(*[f"__h{i}" for i in range(len(keys))], "__salts"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)])
+    salts = F.coalesce("__salts", F.lit(1))
+    dealt = left.join(known, on, "left").select(*left.columns, F.pmod(F.xxhash64(*left.columns), salts).cast("int").alias("__salt"))
+    repeated = right.join(known, on, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("__salt"))
+    return dealt.join(repeated, [*keys, "__salt"], how).drop("__salt")
+
 
-    held_out is a condition on `doc_id`. Documents with several labels count with the largest; null labels and ids count as none.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int, size: int = FIT_BYTES) -> DataFrame:
+    """(text, y) of at most `rows` labelled documents outside `held_out` and `size` bytes of text, chosen by a hash of doc_id; the bounds are the fit's parameters.
+
+    held_out is a condition on `doc_id`. Documents with several labels count with the largest; null labels and ids count as none. Of rows that
+    repeat a doc_id that with the smallest text counts; texts above FIT_TEXT_BYTES don't take part.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -55,9 +94,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    texts = docs.select(F.col("doc_id").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
-    # `rows` bounds the broadcast table: an id and a label each
-    return texts.join(F.broadcast(chosen), F.col("__id") == F.col("doc_id")).select("text", "y")
+    texts = docs.select(F.col("doc_id").alias("__id"), F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= FIT_TEXT_BYTES)
+    # `rows` bounds the broadcast table, an id and a label each, and the rows of the window
+    found = texts.join(F.broadcast(chosen), F.col("__id") == F.col("doc_id")).groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return found.withColumn("__upto", F.sum(F.octet_length("text").cast("long")).over(order)).where(F.col("__upto") <= size).select("text", "y")
+
+
+def fitted(sample: DataFrame, train: Callable[[list[tuple[str, int]]], Any]) -> Any:
+    """What `train` makes of a bounded sample (text, y), as (text, 0 or 1) rows. It is trained in one task on an executor; the driver gets the model only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(t, int(y > 0)) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
+
+    made = sample.select("text", "y").coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else train([])
 
 
 def crc_rest(column: str, of: int) -> Column:
@@ -66,10 +118,11 @@ def crc_rest(column: str, of: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches so that one slice holds at most SLICE_ROWS rows and, but for one long row, SLICE_BYTES of `text`."""
+    """Cuts Arrow batches so that one slice holds at most SLICE_ROWS rows and, but for one long row, SLICE_BYTES of `text` (or so many values of lists)."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist() if batch.num_rows else []
+        length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+        sizes = pc.fill_null(length(column), 0).to_pylist() if batch.num_rows else []
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and (i - start >= SLICE_ROWS or held + n > SLICE_BYTES):
@@ -85,6 +138,11 @@ def map_texts(df: DataFrame, text: str, schema: str, work: Callable[[list[str]],
 
     schema: the appended columns, as DDL. Input columns of the same names are replaced.
     """
+    return map_values(df, text, schema, lambda values: work([t or "" for t in values]))
+
+
+def map_values(df: DataFrame, column: str, schema: str, work: Callable[[list], list[pa.Array]]) -> DataFrame:
+    """As map_texts, for the plain values of any column (null: None)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -95,9 +153,9 @@ def map_texts(df: DataFrame, text: str, schema: str, work: Callable[[list[str]],
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
-            texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-            made = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type) for a, f in zip(work(texts), arrow, strict=True)]
+        for part in slices(batches, column):
+            values = part.column(part.schema.get_field_index(column)).to_pylist()
+            made = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type) for a, f in zip(work(values), arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(n)) for n in names] + made, names=[*names, *arrow.names])
 
     return df.mapInArrow(run, out)

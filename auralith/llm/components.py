@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import checkpointed
+from auralith.llm.common import checkpointed, hot_values, join_skewed
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -13,21 +13,23 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Rounds of hooking and contraction: a node points to its smallest neighbour (itself if none is smaller), pointers are doubled until they
     reach their roots, and the edges between different roots are the graph of the next round. Edges that lie inside a tree are not read
-    again. Every result is checkpointed; aggregates combine before they shuffle, and no group of neighbours is gathered.
+    again. Every result is checkpointed; aggregates combine before they shuffle, no group of neighbours is gathered, and the rows of a node
+    with many edges, or of a root with many nodes, stay where they are (join_skewed).
     An empty graph gives an empty result; loops and repeated edges are ignored.
     """
     edges = checkpointed(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
     rounds = [_rooted(edges)]
     while True:
-        tree = rounds[-1]
-        ends = edges.join(tree.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u").join(tree.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v")
+        tree, hot = rounds[-1], hot_values(edges, "u", "v")
+        ends = checkpointed(join_skewed(edges, tree.select(F.col("node").alias("u"), F.col("root").alias("ru")), ["u"], hot).select("ru", "v"))
+        ends = join_skewed(ends, tree.select(F.col("node").alias("v"), F.col("root").alias("rv")), ["v"], hot)
         edges = checkpointed(ends.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).where("u <> v").distinct())
         if edges.isEmpty():
             break
         rounds.append(_rooted(edges))
     out = rounds[0]
     for later in rounds[1:]:
-        out = out.join(later.select(F.col("node").alias("was"), F.col("root").alias("next")), F.col("root") == F.col("was"), "left").select("node", F.coalesce("next", "root").alias("root"))
+        out = checkpointed(join_skewed(out, later.select(F.col("node").alias("root"), F.col("root").alias("next")), ["root"], hot_values(out, "root"), "left").select("node", F.coalesce("next", "root").alias("root")))
     return out
 
 
@@ -36,7 +38,8 @@ def _rooted(edges: DataFrame) -> DataFrame:
     hooks = edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")).union(edges.select("u", "u").distinct())
     tree = checkpointed(hooks.groupBy("node").agg(F.min("root").alias("root")))
     while True:
-        step = checkpointed(tree.join(tree.select(F.col("node").alias("at"), F.col("root").alias("next")), F.col("root") == F.col("at")).select("node", F.col("root").alias("was"), F.col("next").alias("root")))
+        following = tree.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        step = checkpointed(join_skewed(tree, following, ["root"], hot_values(tree, "root")).select("node", F.col("root").alias("was"), F.col("next").alias("root")))
         tree = step.select("node", "root")
         if step.where("root < was").isEmpty():
             return tree

@@ -8,20 +8,19 @@ n - ceil(SIMILAR * n) + 1. Hashes that many texts of a sample hold come last in
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import map_texts
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, hot_values, join_skewed, stored
 
 #: The similarity from which two sets link, as a fraction.
 SIMILAR = (4, 5)
 #: About so many texts are looked at for common hashes: those in COMMON of them or more, and at most MOST_COMMON hashes.
-SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 200_000
+SAMPLE, COMMON, MOST_COMMON = 4_000, 4, 50_000
 #: Runs of up to FEW rows are compared at once.
 FEW = 8
 NAME = ["s0", "s1"]
@@ -38,17 +37,17 @@ def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(text.as_py() or "")).view(np.int64))], names=["h"])
 
     held = some.mapInArrow(run, "h bigint").groupBy("h").count().where(F.col("count") >= COMMON)
-    found = held.orderBy(F.desc("count"), "h").limit(MOST_COMMON).toPandas()["h"]
-    return np.sort(found.to_numpy(np.int64).view(np.uint64))
+    found = held.orderBy(F.desc("count"), "h").limit(MOST_COMMON).select("h").toArrow().column("h")
+    return np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
 
 
-def named(hashes: np.ndarray, common: np.ndarray) -> tuple[int, int, int, np.ndarray]:
-    """The set's name as two numbers, its size, and its first hashes in the order of all."""
+def named(hashes: np.ndarray, common: np.ndarray) -> tuple[int, int, int, np.ndarray, bytes]:
+    """The set's name as two numbers, its size, its first hashes in the order of all, and the sorted set."""
     own = np.unique(hashes)
     digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), ">i8").tolist()
     often = common[np.searchsorted(common, own).clip(max=len(common) - 1)] == own if len(common) else np.zeros(len(own), bool)
     first = len(own) - -(-SIMILAR[0] * len(own) // SIMILAR[1]) + 1 if len(own) else 0
-    return *digest, len(own), np.r_[own[~often], own[often]][:first].view(np.int64)
+    return *digest, len(own), np.r_[own[~often], own[often]][:first].view(np.int64), own.tobytes()
 
 
 def _may_link(r: np.ndarray, n: np.ndarray, at: np.ndarray, a, b) -> np.ndarray:
@@ -120,32 +119,25 @@ def candidates(sets: DataFrame) -> DataFrame:
     return filed.mapInArrow(scan, schema).distinct()
 
 
-def _on(left: str, right: str) -> Column:
-    return (F.col(f"{left}0") == F.col(f"{right}0")) & (F.col(f"{left}1") == F.col(f"{right}1"))
-
-
-def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, hashes) -> DataFrame:
-    """The pairs a0, a1, b0, b1 whose sets link, by the texts themselves. sets: s0, s1, doc_id (of a document with that set); hashes: text -> its hashes."""
-    needed = pairs.select(F.col("a0").alias("s0"), F.col("a1").alias("s1")).union(pairs.select("b0", "b1")).distinct().join(sets.select("s0", "s1", F.col("doc_id").alias("__id")), NAME)
-    texts = docs.select("doc_id", "text").join(needed.select("__id").distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-
-    def name(found: list[str]) -> list[pa.Array]:
-        made = np.array([named(hashes(t), np.zeros(0, np.uint64))[:2] for t in found], np.int64).reshape(-1, 2)
-        return [pa.array(made[:, 0]), pa.array(made[:, 1])]
-
-    # ids may repeat: what counts is the text's own set
-    texts = map_texts(texts.select("text"), "text", "s0 bigint, s1 bigint", name).groupBy(*NAME).agg(F.min("text").alias("text"))
-    side = lambda s: texts.select(F.col("s0").alias(f"__{s}0"), F.col("s1").alias(f"__{s}1"), F.col("text").alias(f"text_{s}"))
-    both = pairs.join(side("a"), _on("a", "__a")).join(side("b"), _on("b", "__b")).select("a0", "a1", "b0", "b1", "text_a", "text_b")
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs a0, a1, b0, b1 whose sets link, by the whole sets. pairs: checkpointed; sets: s0, s1, hashes."""
+    ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
+    needed = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("s")).distinct().select("s.s0", "s.s1"))
+    n = needed.count()
+    own = sets.select("s0", "s1", "hashes")
+    # few: they go to the sets; else the sets are shuffled once
+    own = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi"))
+    hot = hot_values(ends, "a", "b")
+    side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name))
+    both = join_skewed(join_skewed(ends, side("a", "x"), ["a"], hot), side("b", "y"), ["b"], hot)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = lru_cache(64)(lambda text: np.unique(hashes(text)))
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
-                x, y = of(x.as_py() or ""), of(y.as_py() or "")
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(SIMILAR[1] * shared >= SIMILAR[0] * (len(x) + len(y) - shared))
             yield batch.select(["a0", "a1", "b0", "b1"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")
+    return both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "x", "y").toDF("a0", "a1", "b0", "b1", "x", "y").mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")

@@ -1,9 +1,12 @@
-"""License scans: TF-IDF cosine of header lines and licence files to templates, then inheritance from the nearest ancestor directory.
+"""License scans: TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest ancestor directory.
 
-Segments are the lines of a file that hold a licence cue and, for a file with a licence file's name, all of it. Term weights come from all segments
-of the corpus: documents frequencies of the templates' terms, counted in Spark; other terms get the largest weight, so that foreign words
-lower the cosine. The best template of the best segment is a file's own licence if its cosine reaches MATCH. A file without one inherits
-from the nearest directory above it whose licence file has one: a join on directory paths.
+A file with a licence cue, or with a licence file's name, has as segments its lines that hold a cue, its paragraphs that do (runs of lines with words), and
+the whole file. Lines and paragraphs are compared with short notices, titles and the paragraphs of short licences, the whole file with full licence texts. Term counts
+are damped by a logarithm; term weights come from all segments of the corpus: document frequencies of the templates' terms, counted in Spark. Other terms get the largest
+weight, so that foreign words lower the cosine. A file's own licence is that of the full text that the whole file matches with SURE or more, else the best template of its
+best segment, from MATCH on. A file without one inherits from the nearest directory above it whose licence file has one: a join on directory paths.
+
+The full texts are the public licence texts in the folder `licences`, a file for each SPDX name.
 
 Cases: null text has no segment; null path can't inherit; ties go to the licence that sorts first; of several licence files in a directory the one
 with the highest cosine, then the smallest path, counts; repeated rows get equal results; an empty table gives an empty result; columns other than doc_id, path
@@ -15,14 +18,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import checkpointed, map_texts
+from auralith.llm.common import checkpointed, heavy_keys, join_skewed, map_texts
 
-MATCH = 0.6
+MATCH, SURE = 0.6, 0.95
 CUE = r"(?i)licen[sc]ed?\b|copyright|spdx|permission is hereby|redistribut|all rights reserved|public domain|without warranty"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([._-].*)?$"
@@ -43,6 +48,10 @@ TEMPLATES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
@@ -54,23 +63,51 @@ TEMPLATES = [
 _cue, _term, _named = re.compile(CUE).search, re.compile(TERM).findall, re.compile(LICENCE_FILE).match
 
 
-def vocabulary(templates: list[tuple[str, str]] = TEMPLATES) -> list[str]:
-    return sorted({t for _, text in templates for t in _term(text.lower())})
+#: Licences up to this size are matched by their paragraphs too, as they stand at the head of source files.
+SHORT = 6_000
+_blank = re.compile(r"\n[^\w\n]*\n[^\w]*")
+
+
+@lru_cache(1)
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """SPDX name and text of each file in the folder."""
+    return tuple((p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licences").glob("*.txt")))
+
+
+def paragraphs(text: str) -> list[str]:
+    """Runs of lines that hold a letter or digit."""
+    return [p for p in _blank.split(text) if p.strip()]
+
 
+def notices() -> list[tuple[str, str]]:
+    """Short templates: the notices, the titles of the full texts, and the paragraphs of short ones that no other licence has."""
+    parts = [(name, p) for name, text in full_texts() for i, p in enumerate(paragraphs(text)) if i == 0 or (len(text) <= SHORT and _cue(p))]
+    owners = {p: {n for n, q in parts if q == p} for _, p in parts}
+    return TEMPLATES + [(n, p) for n, p in parts if len(owners[p]) == 1]
 
-def segments(text: str, licence_file: bool) -> list[str]:
-    return ([text] if licence_file and text.strip() else []) + ([line for line in text.split("\n") if _cue(line)] if _cue(text) else [])
+
+def vocabulary() -> list[str]:
+    return sorted({t for _, text in (*notices(), *full_texts()) for t in _term(text.lower())})
+
+
+def segments(text: str, licence_file: bool) -> tuple[list[str], list[str]]:
+    """Lines and paragraphs with a cue, and the whole file if there are any or its name is a licence file's."""
+    cued = _cue(text) is not None
+    short = [line for line in text.split("\n") if _cue(line)] + [p for p in paragraphs(text) if "\n" in p.strip() and _cue(p)] if cued else []
+    return short, [text] if text.strip() and (cued or licence_file) else []
 
 
 def frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
     """The number of segments of the whole corpus, and of those that hold each of the terms; at most a row a term comes back."""
     text = F.coalesce("text", F.lit(""))
-    cue = F.filter(F.split(text, "\n"), lambda line: line.rlike(CUE))
-    parts = F.when(F.coalesce(_base("path").rlike(LICENCE_FILE), F.lit(False)) & (F.trim(text) != ""), F.concat(F.array(text), cue)).otherwise(cue)
-    rows = files.where(text.rlike(CUE) | F.coalesce(_base("path").rlike(LICENCE_FILE), F.lit(False))).select(F.explode(parts).alias("segment"))
-    known = F.array(*[F.lit(t) for t in terms])
-    found = rows.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(F.regexp_extract_all(F.lower("segment"), F.lit(TERM), 0), known))).alias("term"))
-    counts = {r["term"]: r["count"] for r in found.groupBy("term").count().collect()}
+    cued = lambda parts: F.filter(parts, lambda p: p.rlike(CUE))
+    named = F.coalesce(_base("path").rlike(LICENCE_FILE), F.lit(False))
+    blocks = F.filter(F.split(text, r"\n[^\w\n]*\n[^\w]*"), lambda p: F.trim(p).contains("\n"))
+    rows = files.where(text.rlike(CUE) | (named & (F.trim(text) != ""))).select(F.explode(F.concat(F.array(text), cued(F.split(text, "\n")), cued(blocks))).alias("segment"))
+    found = rows.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.lower("segment"), F.lit(TERM), 0)))).alias("term"))
+    # the templates' terms, a fixed table
+    known = F.broadcast(files.sparkSession.createDataFrame([(t,) for t in ["", *terms]], "known string"))
+    counts = {r["term"]: r["count"] for r in found.join(known, F.col("term") == F.col("known"), "left_semi").groupBy("term").count().collect()}
     return counts.pop("", 0), counts
 
 
@@ -79,36 +116,41 @@ def _base(path: str) -> Column:
 
 
 class Matcher:
-    def __init__(self, n: int, df: dict[str, int], templates: list[tuple[str, str]] = TEMPLATES) -> None:
-        self.weight = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary(templates)}
+    """Cosines to the short templates and to the full texts. n: segments of the corpus; df: those that hold a term."""
+
+    def __init__(self, n: int, df: dict[str, int]) -> None:
+        self.weight = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary()}
         self.other = math.log(1 + n) + 1
-        self.templates = [(name, self.vector(text)) for name, text in templates]
+        self.short = [(name, self.vector(text)) for name, text in notices()]
+        self.full = [(name, self.vector(text)) for name, text in full_texts()]
 
     def vector(self, text: str) -> dict[str, float]:
-        v = {t: k * self.weight.get(t, self.other) for t, k in Counter(_term(text.lower())).items()}
+        v = {t: (1 + math.log(k)) * self.weight.get(t, self.other) for t, k in Counter(_term(text.lower())).items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()} if norm else {}
 
-    def best(self, text: str) -> tuple[float, str]:
-        v = self.vector(text)
-        return max(((sum(x * v[t] for t, x in template.items() if t in v), name) for name, template in self.templates), key=lambda x: (round(x[0], 9), [-ord(c) for c in x[1]]))
+    def best(self, texts: list[str], templates: list[tuple[str, dict[str, float]]]) -> tuple[float, str | None]:
+        """The largest cosine of any text to any template, and the licence; of equal ones the first by name."""
+        found = [(-round(sum(x * v[t] for t, x in template.items() if t in v), 9), name) for v in map(self.vector, set(texts)) for name, template in templates]
+        score, name = min(found, default=(0.0, None))
+        return -score, name
+
+    def licence(self, text: str, licence_file: bool, match: float = MATCH) -> tuple[str | None, float]:
+        """The file's own licence (none below match) and its cosine."""
+        short, whole = segments(text, licence_file)
+        score, name = self.best(whole, self.full)
+        if score < SURE:
+            score, name = max((score, name), self.best([*short, *whole] if licence_file else short, self.short), key=lambda x: x[0])
+        return (name if score >= match else None), score
 
 
 def own_licences(files: DataFrame, match: float = MATCH) -> DataFrame:
-    """doc_id, path, own, score: the best licence of a file's own segments (null below match), and its cosine (0 without segments)."""
-    n, df = frequencies(files, vocabulary())
-    matcher: list[Matcher] = []
+    """doc_id, path, own, score: a file's own licence (null below match), and the best cosine (0 without segments)."""
+    shared = files.sparkSession.sparkContext.broadcast(Matcher(*frequencies(files, vocabulary())))
 
     def work(texts: list[str]) -> list[pa.Array]:
-        if not matcher:
-            matcher.append(Matcher(n, df))
-        names, scores = [], []
-        for joined in texts:
-            named, _, text = joined.partition("\n")
-            found = max((matcher[0].best(s) for s in segments(text, named == "1")), key=lambda x: (round(x[0], 9), [-ord(c) for c in x[1]]), default=(0.0, ""))
-            names.append(found[1] if found[0] >= match else None)
-            scores.append(found[0])
-        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+        made = [shared.value.licence(text, named == "1", match) for named, _, text in (joined.partition("\n") for joined in texts)]
+        return [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
 
     named = F.coalesce(_base("path").rlike(LICENCE_FILE), F.lit(False))
     rows = files.select("doc_id", "path", F.concat(F.when(named, "1\n").otherwise("0\n"), F.coalesce("text", F.lit(""))).alias("__file"))
@@ -116,15 +158,20 @@ def own_licences(files: DataFrame, match: float = MATCH) -> DataFrame:
 
 
 def scan(files: DataFrame, match: float = MATCH) -> DataFrame:
-    """doc_id, path, licence, score, origin (own, inherited, none): one row a file. files: doc_id, path, text."""
-    own = checkpointed(own_licences(files, match)).withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
-    best = Window.partitionBy("dir").orderBy(F.desc("score"), "path", "doc_id")
-    heads = own.where(_base("path").rlike(LICENCE_FILE) & F.col("own").isNotNull()).withColumn("n", F.row_number().over(best)).where("n = 1").select(F.col("dir").alias("above"), F.col("own").alias("from_above"))
-    dirs = own.where("dir IS NOT NULL").select("dir").distinct()
+    """doc_id, path, licence, score, origin (own, inherited, none): one row a file. files: doc_id, path, text.
+
+    Directories that many others lie below, or that hold many files, are dealt over salts (join_skewed).
+    """
+    own = checkpointed(own_licences(files, match).withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")))
+    order = F.struct(-F.col("score"), F.col("path"), F.col("doc_id"))
+    heads = own.where(_base("path").rlike(LICENCE_FILE) & F.col("own").isNotNull()).groupBy(F.col("dir").alias("above")).agg(F.min_by("own", order).alias("from_above"))
+    dirs = checkpointed(own.where("dir IS NOT NULL").groupBy("dir").agg(F.count("*").alias("n")))
     parts = F.split("dir", "/")
-    above = dirs.select("dir", F.explode(F.concat(F.array(F.struct(F.lit(0).alias("depth"), F.lit("").alias("above"))), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("above"))))).alias("a")).select("dir", "a.*")
-    nearest = above.join(heads, "above").groupBy("dir").agg(F.max_by("from_above", "depth").alias("inherited"))
-    out = own.join(nearest, "dir", "left")
+    chain = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("above")))
+    above = dirs.select("dir", F.explode(F.concat(F.array(F.struct(F.lit(0).alias("depth"), F.lit("").alias("above"))), chain)).alias("a")).select("dir", "a.*")
+    below = heavy_keys(above.groupBy("above").agg(F.count("*").alias("n")), ["above"], "n")
+    nearest = join_skewed(above, checkpointed(heads), ["above"], below).groupBy("dir").agg(F.max_by("from_above", "depth").alias("inherited"))
+    out = join_skewed(own, checkpointed(nearest), ["dir"], heavy_keys(dirs, ["dir"], "n"), "left")
     origin = F.when(F.col("own").isNotNull(), "own").when(F.col("inherited").isNotNull(), "inherited").otherwise("none")
     return out.select("doc_id", "path", F.coalesce("own", "inherited").alias("licence"), "score", origin.alias("origin"))
 

@@ -7,8 +7,12 @@ timed clip rows.
 
 Code tables in which code and magnitude bits always add up to one width, as the writer's do, are decoded by array operations; others bit by bit.
 
-Cases: null and empty payloads are stored as one block of zero bytes; equal payloads give equal files; files without an index
-are read by their chunks in order; other data raise ValueError; a file without frames has no clips; an empty table gives an empty result.
+Frames are found by the OpenDML index of the video stream (of one or several RIFF parts), else by the old index, else by the chunks in order.
+Frames without Huffman tables, as usual in AVI, are read with the standard ones.
+
+Cases: null and empty payloads are stored as one block of zero bytes; equal payloads give equal files; data that are no AVI file or hold a frame that can't be
+read have no clips and an error text (null media: neither); a file without frames has no clips; repeated rows are read alike; an empty table gives an empty
+result; other columns pass through, but for those with the names of the results.
 """
 
 from __future__ import annotations
@@ -18,12 +22,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import map_texts
+from auralith.llm.common import map_texts, map_values
 
 UNIT, WIDTH, HEIGHT, RATE = 64, 32, 32, 25
 #: Histogram bins, the differences that the threshold looks back on, its deviations, and its least value.
@@ -34,6 +37,26 @@ LENGTHS = [9 - k for k in range(9)]
 ZIGZAG = sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
 
 
+# The standard Huffman tables: how many codes of 1, 2 ... 16 bits, and the first symbols in the order of their codes; the others follow by size.
+STANDARD = {
+    0x00: ("0 1 5 1 1 1 1 1 1", "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    0x01: ("0 3 1 1 1 1 1 1 1 1 1", "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    0x10: ("0 2 1 3 3 2 4 3 5 5 4 4 0 0 1 125", "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 23 42 b1 c1 15 52 d1 f0 24 33 62 72 82"),
+    0x11: ("0 2 1 2 4 4 3 4 7 5 4 4 0 1 2 119", "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1"),
+}
+
+
+@lru_cache(1)
+def _standard() -> dict[int, dict[int, int]]:
+    """Table -> symbol -> code length."""
+    out = {}
+    for name, (counts, first) in STANDARD.items():
+        head = [int(x, 16) for x in first.split()]
+        rest = sorted({run << 4 | size for run in range(16) for size in range(1, 11)} - set(head)) if name & 16 else []
+        out[name] = dict(zip(head + rest, [k for k, c in enumerate(map(int, counts.split()), 1) for _ in range(c)], strict=True))
+    return out
+
+
 def codes(lengths: dict[int, int]) -> dict[int, tuple[int, int]]:
     """symbol -> (code, length), canonical in the order of length, then of the given symbols."""
     out, code, last = {}, 0, 0
@@ -115,29 +138,56 @@ def _chunks(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
         at += 8 + n + n % 2
 
 
+def _open_index(data: bytes, at: int) -> list[bytes]:
+    """The frames of an OpenDML index: of an index of indexes, those of each."""
+    words, kind, n = int.from_bytes(data[at : at + 2], "little"), data[at + 3], int.from_bytes(data[at + 4 : at + 8], "little")
+    if kind == 0 and words == 4:
+        entries = [int.from_bytes(data[e : e + 8], "little") for e in range(at + 24, at + 24 + 16 * n, 16)]
+        return [f for e in entries for f in _open_index(data, e + 8)]
+    base = int.from_bytes(data[at + 12 : at + 20], "little")
+    entries = np.frombuffer(data, "<u4", 2 * n, at + 24).reshape(-1, 2).tolist()
+    return [data[base + o : base + o + (k & 0x7FFFFFFF)] for o, k in entries if k & 0x7FFFFFFF]
+
+
+def _movie(data: bytes, at: int, end: int) -> Iterator[bytes]:
+    """The frames of a movi list in order, those inside its records too."""
+    for name, s, k in _chunks(data, at, end):
+        if name == b"LIST":
+            yield from _movie(data, s + 4, s + k)
+        elif name[2:] in (b"dc", b"db") and k:
+            yield data[s : s + k]
+
+
 def read_avi(data: bytes) -> tuple[float, list[bytes]]:
-    """Frames a second, and the JPEG data of the frames by the index (by the chunks in order without one)."""
+    """Frames a second, and the JPEG data of the frames by the file's index (by the chunks in order without one)."""
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
-    rate, movi, index = 0.0, None, None
-    for name, at, n in _chunks(data, 12, len(data)):
-        kind = data[at : at + 4]
-        if name == b"LIST" and kind == b"hdrl":
-            for sub, s, _ in _chunks(data, at + 4, at + n):
-                if sub == b"avih":
-                    period = int.from_bytes(data[s : s + 4], "little")
-                    rate = 1e6 / period if period else 0.0
-        elif name == b"LIST" and kind == b"movi":
-            movi = (at, n)
-        elif name == b"idx1":
-            index = np.frombuffer(data, "<u4", n // 16 * 4, at).reshape(-1, 4)
-    if movi is None:
+    rate, movies, index, wide = 0.0, [], None, None
+    for _, start, size in _chunks(data, 0, len(data)):  # RIFF parts
+        for name, at, n in _chunks(data, start + 4, start + size):
+            kind = data[at : at + 4]
+            if name == b"LIST" and kind == b"hdrl":
+                for sub, s, k in _chunks(data, at + 4, at + n):
+                    if sub == b"avih":
+                        period = int.from_bytes(data[s : s + 4], "little")
+                        rate = 1e6 / period if period else 0.0
+                    elif sub == b"LIST" and data[s : s + 4] == b"strl" and wide is None:
+                        parts = {p: o for p, o, _ in _chunks(data, s + 4, s + k)}
+                        if b"strh" in parts and data[parts[b"strh"] : parts[b"strh"] + 4] == b"vids":
+                            wide = parts.get(b"indx")
+            elif name == b"LIST" and kind == b"movi":
+                movies.append((at, n))
+            elif name == b"idx1" and index is None:
+                index = np.frombuffer(data, "<u4", n // 16 * 4, at).reshape(-1, 4)
+    if not movies:
         raise ValueError("an AVI file without a movi list")
-    at, n = movi
+    if wide is not None and (found := _open_index(data, wide)):
+        return rate, found
     if index is None:
-        return rate, [data[s : s + k] for name, s, k in _chunks(data, at + 4, at + n) if name[2:] in (b"dc", b"db") and k]
+        return rate, [f for at, n in movies for f in _movie(data, at + 4, at + n)]
     video = index[(index[:, 0] >> 16 == 0x6364) | (index[:, 0] >> 16 == 0x6264)]
     # offsets count from the list's kind or, in some files, from the start of the file
+    at = movies[0][0]
     base = at if not len(video) or data[at + int(video[0, 2]) : at + int(video[0, 2]) + 4] == struct.pack("<I", int(video[0, 0])) else 0
     return rate, [data[base + o + 8 : base + o + 8 + k] for o, k in video[:, 2:].tolist() if k]
 
@@ -146,7 +196,7 @@ def _parse(jpeg: bytes) -> dict:
     """Frame header, tables and the scan's data without stuffed bytes."""
     if jpeg[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG frame")
-    out, at = {"huffman": {}, "quant": {}, "restart": 0}, 2
+    out, at = {"huffman": dict(_standard()), "quant": {}, "restart": 0}, 2
     while True:
         while jpeg[at + 1] == 0xFF:
             at += 1
@@ -340,6 +390,8 @@ def shots(frames: list[np.ndarray]) -> list[tuple[int, int]]:
 
 def clip_rows(media: bytes) -> list[dict]:
     rate, frames = read_avi(media)
+    if not rate:
+        raise ValueError("an AVI file without a frame rate")
     return [{"clip": i, "start_s": a / rate, "end_s": b / rate, "frames": b - a} for i, (a, b) in enumerate(shots(decode_frames(frames)))]
 
 
@@ -366,14 +418,26 @@ def store(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_texts(docs, text, f"n_bytes bigint, media binary, payload binary, clips {CLIPS}", work)
 
 
-def clips(files: DataFrame, key: str, media: str = "media") -> DataFrame:
-    """The key, clip, start_s, end_s, frames: a row for each shot of each file (null media: none)."""
+def inspect(files: DataFrame, media: str = "media") -> DataFrame:
+    """Appends clips and error (null where the file could be read) for each file."""
+
+    def read(data: bytes | None) -> tuple[list[dict], str | None]:
+        try:
+            return ([] if data is None else clip_rows(bytes(data))), None
+        except (ValueError, KeyError, IndexError, TypeError, StopIteration, struct.error) as e:  # what broken data lead to
+            return [], f"{type(e).__name__}: {e}"
 
-    @F.pandas_udf(CLIPS)
-    def read(column: pd.Series) -> pd.Series:
-        return column.map(lambda x: [] if x is None else clip_rows(x))
+    def work(column: list) -> list[pa.Array]:
+        made = [read(x) for x in column]
+        kind = pa.list_(pa.struct([("clip", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("frames", pa.int32())]))
+        return [pa.array([c for c, _ in made], kind), pa.array([e for _, e in made], pa.string())]
+
+    return map_values(files, media, f"clips {CLIPS}, error string", work)
 
-    return files.select(F.col(key), F.explode(read(F.col(media))).alias("c")).select(key, "c.*")
+
+def clips(files: DataFrame, key: str, media: str = "media") -> DataFrame:
+    """The key, clip, start_s, end_s, frames: a row for each shot of each file that can be read."""
+    return inspect(files.select(key, media), media).select(F.col(key), F.explode("clips").alias("c")).select(key, "c.*")
 
 
 def digests(stored: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auralith.llm.calibration import fit_logistic, sigmoid
-from auralith.llm.common import crc_rest, labelled_sample, map_texts
+from auralith.llm.common import crc_rest, fitted, labelled_sample, map_texts
 
 FIT_ROWS = 4000
 BLOCK, PIECE, DICTIONARY, LEVEL = 4096, 256, 65_536, 3
@@ -93,8 +93,7 @@ def scores(texts: list[str], model: Model) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    sample = labelled_sample(docs, labels, "quality", crc_rest("doc_id", 5) == 0, rows).collect()
-    return train([(r["text"], int(r["y"] > 0)) for r in sample])
+    return fitted(labelled_sample(docs, labels, "quality", crc_rest("doc_id", 5) == 0, rows), train)
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auralith.llm import jaccard
-from auralith.llm.common import checkpointed, map_texts
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored
 from auralith.llm.components import connected
 
 SEED = 42
@@ -174,7 +174,11 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
     names = [f"f{i}" for i in range(lanes)]
     ends = [f"{side}{i}" for side in "ab" for i in range(lanes)]
     schema = ", ".join(["k bigint", *[f"{e} bigint" for e in ends]])
-    filed = distinct.select(F.explode(_variants(lanes, segments)).alias("k"), *names).repartition("k").sortWithinPartitions("k")
+    entries = distinct.select(F.explode(_variants(lanes, segments)).alias("k"), *names)
+    # entries that a sixteenth of the fingerprints shows to be far beyond BUCKET go to the blocks at once, not through one sorted task; others that are too large go there from it
+    shown = entries.where(F.pmod(F.xxhash64(*names), F.lit(16)) == 0).groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") >= max(1, BUCKET // 8))
+    large = F.broadcast(checkpointed(shown.orderBy(F.desc("n"), "k").limit(BROADCAST_ROWS).select("k")))
+    filed = entries.join(large, "k", "left_anti").repartition("k").sortWithinPartitions("k")
 
     def batch(k: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(k), *[pa.array(x[:, i].view(np.int64)) for x in (a, b) for i in range(lanes)]], names=["k", *ends])
@@ -213,10 +217,10 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
                     yield batch(np.full(len(a), -1, np.int64), f[a], f[b])
 
     found = checkpointed(filed.mapInArrow(scan, schema).distinct())
-    hot = found.where("k >= 0").select("k", *[F.col(f"a{i}").alias(f"f{i}") for i in range(lanes)])
-    sizes = hot.groupBy(F.col("k").alias("__k")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    hot = found.where("k >= 0").select("k", *[F.col(f"a{i}").alias(f"f{i}") for i in range(lanes)]).union(entries.join(large, "k", "left_semi"))
+    sizes = checkpointed(hot.groupBy(F.col("k").alias("__k")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     # a fingerprint of block i goes to every pair of blocks that holds i
-    own = hot.join(sizes, F.col("k") == F.col("__k")).withColumn("own", F.pmod(F.xxhash64(*names), "blocks").cast("int"))
+    own = join_small(hot, sizes, F.col("k") == F.col("__k"), sizes.count(), "inner").withColumn("own", F.pmod(F.xxhash64(*names), "blocks").cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names)
 
     def block(table: pa.Table) -> pa.Table:
@@ -240,35 +244,40 @@ def components(docs: DataFrame, words: int = 4, bits: int = 64, segments: int =
     All links within 2 * segments - 1 differing bits are found; with a larger radius those beyond are found where one segment differs by one
     bit at most, and the others are not.
     """
-    lanes = bits // 64
-    names = [f"f{i}" for i in range(lanes)]
+    names = [f"f{i}" for i in range(bits // 64)]
     rows = checkpointed(fingerprints(docs, words, bits))
-    nodes = checkpointed(rows.groupBy(*names).agg(F.min("doc_id").alias("node")))
-    edges = links(nodes.select(*names), bits, segments, radius)
+    nodes = checkpointed(rows.groupBy(*names).agg(F.min("doc_id").alias("node"), F.count("*").alias("n")))
     # fingerprints become nodes: only those with a doc_id can name a component, so the others stand for it by their fingerprint
-    for side in "ab":
-        named = nodes.select(*[F.col(n).alias(f"__{n}") for n in names], F.struct(F.col("node").isNull().alias("n"), "node", *names).alias(f"{side}"))
-        on = [F.col(f"{side}{i}") == F.col(f"__f{i}") for i in range(lanes)]
-        edges = edges.join(named, on).drop(*[f"__{n}" for n in names])
-    roots = connected(edges.select("a", "b"))
-    rooted = roots.select(*[F.col(f"node.{n}").alias(f"__{n}") for n in names], F.col("root.node").alias("root"))
+    node = F.struct(F.col("node").isNull().alias("n"), "node", *names)
+    roots = connected(_of_prints(links(nodes.select(*names), bits, segments, radius), nodes.select(*names, node.alias("as")), names))
+    rooted = roots.select(*[f"node.{n}" for n in names], F.struct(F.col("root.node").alias("id")).alias("root"))
     # the root of nodes that link; the node itself else
-    grouped = nodes.join(rooted, [F.col(n) == F.col(f"__{n}") for n in names], "left").select(*[F.col(n).alias(f"__{n}") for n in names], F.when(F.col("__f0").isNotNull(), F.col("root")).otherwise(F.col("node")).alias("component_id"))
-    return rows.join(grouped, [F.col(n) == F.col(f"__{n}") for n in names]).select("doc_id", *names, "component_id")
+    grouped = nodes.join(rooted, names, "left").select(*names, F.when(F.col("root").isNotNull(), F.col("root.id")).otherwise(F.col("node")).alias("component_id"))
+    return join_skewed(rows, checkpointed(grouped), names, heavy_keys(nodes, names, "n")).select("doc_id", *names, "component_id")
+
+
+def _of_prints(edges: DataFrame, known: DataFrame, names: list[str]) -> DataFrame:
+    """a, b: what the fingerprints at both ends of the edges a0.., b0.. are known as. known: each fingerprint once, and as."""
+    ends = checkpointed(edges.select(*[F.struct(*[F.col(f"{side}{i}").alias(n) for i, n in enumerate(names)]).alias(side) for side in "ab"]))
+    hot = hot_values(ends, "a", "b")
+    for side in "ab":
+        to = known.select(F.struct(*names).alias(side), F.col("as").alias(f"as_{side}"))
+        ends = checkpointed(join_skewed(ends, to, [side], hot).drop(side))
+    return ends.select(F.col("as_a").alias("a"), F.col("as_b").alias("b"))
 
 
 def _signatures(docs: DataFrame, words: int, lanes: int, common: np.ndarray) -> DataFrame:
-    """doc_id, s0, s1 (name of the shingle set), n, first (see jaccard.named), f0.., of whole texts."""
+    """doc_id, s0, s1 (name of the shingle set), n, first, hashes (see jaccard.named), f0.., of whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def work(texts: list[str]) -> list[pa.Array]:
         chunks = [list(_hash_chunks(t, words)) for t in texts]
         sets = [jaccard.named(np.concatenate([np.zeros(0, np.uint64), *c]).astype(np.uint64), shared.value) for c in chunks]
         made = np.array([_print(c, lanes) for c in chunks], np.int64).reshape(-1, lanes)
-        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())))]
+        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()))]
         return [*names, *[pa.array(made[:, i]) for i in range(lanes)]]
 
-    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, " + ", ".join(f"f{i} bigint" for i in range(lanes))
+    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, hashes binary, " + ", ".join(f"f{i} bigint" for i in range(lanes))
     return map_texts(docs.select("doc_id", "text"), "text", schema, work).drop("text")
 
 
@@ -283,16 +292,13 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     hashes = lambda text: shingles(text, words)
     rows = _signatures(docs, words, lanes, jaccard.common_hashes(docs, hashes))
     # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
-    sets = rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "first")).alias("x"))
-    sets = checkpointed(sets.select("s0", "s1", "doc_id", "x.*"))
-    holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s")))
-    near = links(holders.select(*prints), bits, segments, radius)
-    for side in "ab":
-        on = [F.col(f"{side}{i}") == F.col(f"__f{i}") for i in range(lanes)]
-        near = near.join(holders.select(*[F.col(p).alias(f"__{p}") for p in prints], F.col("s").alias(side)), on).drop(*[f"__{p}" for p in prints])
-    same = sets.select("s0", "s1", *prints).join(holders, prints).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
+    sets = rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "first", "hashes")).alias("x"))
+    sets = stored(sets.select("s0", "s1", "doc_id", "x.*"))
+    holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s"), F.count("*").alias("sets")))
+    near = _of_prints(links(holders.select(*prints), bits, segments, radius), holders.select(*prints, F.col("s").alias("as")), prints)
+    same = join_skewed(sets.select("s0", "s1", *prints), holders.select(*prints, "s"), prints, heavy_keys(holders, prints, "sets")).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
     near = near.select("a", "b").union(same).select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1")).toDF("a0", "a1", "b0", "b1")
-    sure = checkpointed(jaccard.linked(checkpointed(near), docs, sets, hashes))
+    sure = checkpointed(jaccard.linked(checkpointed(near), sets))
 
     def grouped(edges: DataFrame) -> DataFrame:
         roots = connected(edges.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b")))
@@ -301,7 +307,7 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     first = checkpointed(grouped(sure).select("s0", "s1", "n", "first", "doc_id", "root"))
     # the first half of a root's name tells groups apart
     maybe = checkpointed(jaccard.candidates(first.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
-    more = checkpointed(jaccard.linked(maybe, docs, sets, hashes))
+    more = checkpointed(jaccard.linked(maybe, sets))
     out = first if more.isEmpty() else grouped(sure.union(more))
     return out.select("s0", "s1", "doc_id", "root")
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auralith.llm.calibration import fit_logistic, sigmoid
-from auralith.llm.common import crc_rest, labelled_sample, map_texts
+from auralith.llm.common import crc_rest, fitted, labelled_sample, map_texts
 
 FIT_ROWS = 2000
 THRESHOLD = 0.3
@@ -269,8 +269,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    sample = labelled_sample(docs, labels, "toxic", crc_rest("doc_id", 4) == 2, rows).collect()
-    return train([(r["text"], int(r["y"] > 0)) for r in sample])
+    return fitted(labelled_sample(docs, labels, "toxic", crc_rest("doc_id", 4) == 2, rows), train)
 
 
 def scores(texts: list[str], model: Model) -> np.ndarray:
