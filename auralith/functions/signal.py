@@ -41,6 +41,7 @@ def tiled(x: Column, n: int) -> Column:
 
 
 def faded(x: Column, n: int) -> Column:
-    """Linear at both ends."""
-    size = F.size(x)
-    return F.transform(x, lambda v, i: v * F.least(F.lit(1.0), i / F.lit(float(n)), (size - 1 - i) / F.lit(float(n))))
+    """Linear from 0 to 1 over n samples at both ends, over half of shorter signals; a fade of one sample silences it."""
+    k = F.least(F.lit(n), F.floor(F.size(x) / 2)).cast("int")
+    ramp = lambda i: F.when(i >= k, 1.0).otherwise(F.coalesce(F.try_divide(i.cast("double"), (k - 1).cast("double")), F.lit(0.0)))
+    return F.transform(x, lambda v, i: v * ramp(i) * ramp(F.size(x) - 1 - i))

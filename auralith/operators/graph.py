@@ -1,47 +1,73 @@
-"""Speaker-disjoint splits: connected components over shared speakers, hash-ordered groups, prefix fill."""
+"""Connected components over shared speakers and speaker-disjoint splits: hash-ordered groups, prefix fill."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auralith.operators.quantiles import sums_before
 from auralith.session import checkpointed
+from auralith.skew import heavy_keys, hot_values, join_skewed
 
 
-def components(pairs: DataFrame) -> DataFrame:
-    """G1: clip, root (smallest clip that shared speakers lead to). pairs: clip, speaker; a clip without a speaker is alone.
+def connected(edges: DataFrame) -> DataFrame:
+    """node, root (smallest node that it reaches) for the nodes of edges a, b.
 
-    Each round a speaker takes the smallest label of its clips and gives it back, and labels then jump to their label's label, so that
-    chains halve; aggregates combine before they shuffle.
+    Rounds of hooking and contraction: a node points to its smallest neighbour (itself if none is smaller), pointers are doubled until they
+    reach their roots, and the edges between different roots are the graph of the next round. Edges that lie inside a tree are not read
+    again. Every result is checkpointed; aggregates combine before they shuffle, no group of neighbours is gathered, and a node
+    with many edges, or a root with many nodes, is dealt over several tasks (join_skewed).
+    An empty graph gives an empty result; loops and repeated edges are ignored.
     """
-    edges = checkpointed(pairs.where("speaker IS NOT NULL").select("clip", "speaker").distinct())
-    state = checkpointed(pairs.select("clip").distinct().withColumn("root", F.col("clip")))
+    edges = checkpointed(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
+    rounds = [_rooted(edges)]
+    while True:
+        tree, hot = rounds[-1], hot_values(edges, "u", "v")
+        ends = checkpointed(join_skewed(edges, tree.select(F.col("node").alias("u"), F.col("root").alias("ru")), ["u"], hot).select("ru", "v"))
+        ends = join_skewed(ends, tree.select(F.col("node").alias("v"), F.col("root").alias("rv")), ["v"], hot)
+        edges = checkpointed(ends.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).where("u <> v").distinct())
+        if edges.isEmpty():
+            break
+        rounds.append(_rooted(edges))
+    out = rounds[0]
+    for later in rounds[1:]:
+        following = later.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        out = checkpointed(join_skewed(out, following, ["root"], hot_values(out, "root"), "left").select("node", F.coalesce("next", "root").alias("root")))
+    return out
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """node, root: the end of each node's chain of smallest neighbours, for edges u < v."""
+    hooks = edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")).union(edges.select("u", "u").distinct())
+    tree = checkpointed(hooks.groupBy("node").agg(F.min("root").alias("root")))
     while True:
-        least = edges.join(state, "clip").groupBy("speaker").agg(F.min("root").alias("least"))
-        heard = edges.join(least, "speaker").groupBy("clip").agg(F.min("least").alias("heard"))
-        low = checkpointed(state.join(heard, "clip", "left").select("clip", "root", F.least("root", "heard").alias("low")))
-        jump = low.select(F.col("clip").alias("low"), F.col("low").alias("next"))
-        step = checkpointed(low.join(jump, "low").select("clip", F.col("root").alias("was"), F.least("low", "next").alias("root")))
-        state = step.select("clip", "root")
+        following = tree.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        step = checkpointed(join_skewed(tree, following, ["root"], hot_values(tree, "root")).select("node", F.col("root").alias("was"), F.col("next").alias("root")))
+        tree = step.select("node", "root")
         if step.where("root < was").isEmpty():
-            return state
+            return tree
 
 
-def running_before(rows: DataFrame, key: str, size: str) -> DataFrame:
-    """Adds before: the sum of size over rows with a smaller key (hexadecimal hashes). Range sums first, so that no task gets all rows."""
-    ranged = rows.withColumn("__r", F.substring(key, 1, 3))
-    sums = ranged.groupBy("__r").agg(F.sum(size).alias("__n"))
-    offsets = sums.select("__r", F.coalesce(F.sum("__n").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"))
-    inside = Window.partitionBy("__r").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.withColumn("__u", F.sum(size).over(inside)).join(offsets, "__r").withColumn("before", F.col("__o") + F.col("__u") - F.col(size)).drop("__r", "__u", "__o")
+def components(pairs: DataFrame) -> DataFrame:
+    """Clip, root (smallest clip that shared speakers lead to). pairs: clip, speaker; a clip without a speaker is alone.
+
+    Each pair is an edge between the speaker's smallest clip and the clip, so that no speaker's clips are paired with each other.
+    """
+    pairs = checkpointed(pairs.select("clip", "speaker").distinct())
+    known = pairs.where("speaker IS NOT NULL")
+    first = checkpointed(known.groupBy("speaker").agg(F.min("clip").alias("a"), F.count("*").alias("n")))
+    edges = join_skewed(known, first.select("speaker", "a"), ["speaker"], heavy_keys(first, ["speaker"], "n")).select("a", F.col("clip").alias("b"))
+    roots = connected(edges).select(F.col("node").alias("clip"), "root")
+    return pairs.select("clip").distinct().join(roots, "clip", "left").select("clip", F.coalesce("root", "clip").alias("root"))
 
 
 def splits(rooted: DataFrame, train: float = 0.7, val: float = 0.15, seed: int = 42) -> DataFrame:
-    """Clip, split. Groups in hash order fill train while it is below its share, then val, the rest is test."""
+    """Clip, split. Groups in hash order fill train while it is below its share, then val, the rest is test."""
     if train <= 0 or val <= 0 or train + val >= 1:
         raise ValueError("fractions must be positive and leave a test share")
     groups = rooted.groupBy("root").agg(F.count("*").alias("n")).withColumn("key", F.md5(F.concat(F.lit(f"{seed}|"), F.col("root").cast("string"))))
-    placed = running_before(groups, "key", "n")
-    total = rooted.agg(F.bround(F.count("*") * train).alias("goal"), F.bround(F.count("*") * val).alias("goal_val"))
+    placed = checkpointed(sums_before(groups, "key", "n"))
+    total = placed.agg(F.bround(F.sum("n") * train).alias("goal"), F.bround(F.sum("n") * val).alias("goal_val"))
     placed = placed.crossJoin(F.broadcast(total))  # one row
     filled = placed.agg(F.coalesce(F.min(F.when(F.col("before") + F.col("n") >= F.col("goal"), F.col("before") + F.col("n"))), F.lit(0)).alias("filled"))
     split = F.when(F.col("before") < F.col("goal"), "train").when(F.col("before") - F.col("filled") < F.col("goal_val"), "val").otherwise("test")
-    return rooted.join(placed.crossJoin(F.broadcast(filled)).select("root", split.alias("split")), "root").select("clip", "split")
+    named = checkpointed(placed.crossJoin(F.broadcast(filled)).select("root", "n", split.alias("split")))
+    return join_skewed(rooted.select("clip", "root"), named.select("root", "split"), ["root"], heavy_keys(named, ["root"], "n")).select("clip", "split")

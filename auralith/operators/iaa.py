@@ -3,7 +3,10 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CATEGORIES = ["PHYS", "VERB", "DIST", "ACOU", "EMOT"]
+# Category -> kappa aimed at, least kappa.
+THRESHOLDS = [("PHYS", 0.65, 0.55), ("VERB", 0.60, 0.50), ("DIST", 0.60, 0.50), ("ACOU", 0.70, 0.60), ("EMOT", 0.55, 0.45), ("INTENS", 0.60, 0.50)]
+CATEGORIES = [c for c, *_ in THRESHOLDS[:-1]]
+LEAST_COVERAGE = 0.20
 
 
 def cohen_kappa(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -25,15 +28,23 @@ def _kappa(observed: Column, expected: Column, degenerate: float) -> Column:
 
 
 def weighted_kappa(pairs: DataFrame, low: int = 1, high: int = 5) -> DataFrame:
-    """Agreement weight 1 up to a difference of one, then falling linearly; 1 where chance agreement is complete."""
-    weight = lambda a, b: F.when(F.abs(a - b) <= 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - (F.abs(a - b) - 1) / F.lit(float(high - low))))
+    """Agreement weight 1 up to a difference of one, then falling linearly to 0 at the largest; 0 without pairs, 1 on a scale of one point and where chance agreement is complete.
+
+    A label outside the scale is an error."""
+    if low == high:
+        return pairs.agg(F.when(F.count("*") == 0, 0.0).otherwise(1.0).alias("kappa"), F.count("*").alias("n"))
+    outside = F.raise_error(F.lit(f"a label is outside {low} to {high}")).cast("int")
+    pairs = pairs.select(*[F.when(F.col(c).between(low, high), F.col(c)).otherwise(outside).alias(c) for c in "ab"])
+    weight = lambda a, b: F.when(F.abs(a - b) <= 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - (F.abs(a - b) - 1) / F.lit(float(max(1, high - low - 1)))))
     cells = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
     rows, columns = (cells.groupBy(F.col(c).alias(c)).agg(F.sum("n").alias(f"n_{c}")) for c in "ab")
     seen = cells.agg(F.sum("n").alias("n"), F.sum(F.col("n") * weight(F.col("a"), F.col("b"))).alias("seen"))
     # the marginals have a row a scale point
     chance = rows.crossJoin(columns).agg(F.sum(F.col("n_a") * F.col("n_b") * weight(F.col("a"), F.col("b"))).alias("chance"))
     out = seen.crossJoin(chance)
-    return out.select(F.round(_kappa(F.col("seen") / F.col("n"), F.col("chance") / F.col("n") / F.col("n"), 1.0), 6).alias("kappa"), "n")
+    kappa = _kappa(F.col("seen") / F.nullif("n", F.lit(0)), F.col("chance") / F.nullif("n", F.lit(0)) / F.nullif("n", F.lit(0)), 1.0)
+    n = F.coalesce("n", F.lit(0))
+    return out.select(F.when(n == 0, 0.0).otherwise(F.round(kappa, 6)).alias("kappa"), n.alias("n"))
 
 
 def presence(events: DataFrame, clips: DataFrame, column: str) -> DataFrame:
@@ -42,11 +53,27 @@ def presence(events: DataFrame, clips: DataFrame, column: str) -> DataFrame:
     return has.unpivot(["clip"], CATEGORIES, "category", column)
 
 
-def iaa_report(a: DataFrame, b: DataFrame, target: float = 0.7, least: float = 0.6) -> DataFrame:
-    """A row a category."""
-    clips = a.select("clip").union(b.select("clip")).distinct()
+def iaa_report(a: DataFrame, b: DataFrame, order: str, clips: DataFrame | None = None) -> DataFrame:
+    """Category, kappa, n, target, least, meets_target, meets_min: a row a category over the clips, and INTENS over events paired by position.
+
+    a, b: events of both annotators, positions in the order of the column `order`; clips: the ids of all annotated clips, those without any event too (by default those with events).
+    """
+    clips = (a.select("clip").union(b.select("clip")) if clips is None else clips.select("clip")).distinct()
     pairs = presence(a, clips, "a").join(presence(b, clips, "b"), ["clip", "category"])
-    return cohen_kappa(pairs, ["category"]).select("category", "kappa", "n", (F.col("kappa") >= target).alias("meets_target"), (F.col("kappa") >= least).alias("meets_min"))
+    found = cohen_kappa(pairs, ["category"]).unionByName(weighted_kappa(positional_pairs(a, b, order)).withColumn("category", F.lit("INTENS")))
+    limits = a.sparkSession.createDataFrame(THRESHOLDS, "category string, target double, least double")
+    kappa, n = F.coalesce("kappa", F.lit(0.0)), F.coalesce("n", F.lit(0))
+    return F.broadcast(limits).join(found, "category", "left").select("category", kappa.alias("kappa"), n.alias("n"), "target", "least", (kappa >= F.col("target")).alias("meets_target"), (kappa >= F.col("least")).alias("meets_min"))
+
+
+def iaa_verdict(report: DataFrame, reviewed: DataFrame, total: int | DataFrame) -> DataFrame:
+    """clips_reviewed, coverage, meets_coverage, all_meet_min, passes. reviewed: ids of the annotated clips; total: the clips there are, or a table of them."""
+    n = reviewed.select("clip").distinct().agg(F.count("*").alias("clips_reviewed"))
+    whole = total.agg(F.count("*").alias("total")) if isinstance(total, DataFrame) else n.select(F.lit(total).alias("total"))
+    row = n.crossJoin(whole).crossJoin(report.agg(F.coalesce(F.bool_and("meets_min"), F.lit(True)).alias("all_meet_min")))  # one row each
+    coverage = F.coalesce(F.try_divide(F.col("clips_reviewed").cast("double"), F.nullif("total", F.lit(0))), F.lit(0.0))
+    enough = coverage >= LEAST_COVERAGE
+    return row.select("clips_reviewed", F.round(coverage, 6).alias("coverage"), enough.alias("meets_coverage"), "all_meet_min", (enough & F.col("all_meet_min")).alias("passes"))
 
 
 def disagreements(a: DataFrame, b: DataFrame) -> DataFrame:

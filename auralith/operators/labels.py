@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auralith.dims import EMOTION_ALIASES, EMOTIONS, EVENT_BANDS, frame
+from auralith.operators.quantiles import sums_before
 
 
 def event_type(clips: DataFrame) -> DataFrame:
@@ -107,5 +108,4 @@ def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _average_ranks(counts: DataFrame, column: str) -> DataFrame:
-    before = F.coalesce(F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.select(F.col("v").alias(column), (before + (F.col("n") + 1) / 2).alias("rank_" + column))
+    return sums_before(counts, "v", "n").select(F.col("v").alias(column), (F.col("before") + (F.col("n") + 1) / 2).alias("rank_" + column))

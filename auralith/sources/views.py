@@ -22,17 +22,20 @@ def _event(onset: str) -> list[str]:
 
 
 def _metrics() -> list[str]:
-    return ["user_id * 100 + day(ts) AS clip", f"coalesce({ROLE}, 'UNK') AS role", "CAST(1 + event_id % 5 AS INT) AS intensity", "CASE WHEN event_id % 11 <> 0 THEN 80 + value END AS f0", "-40 + CAST(event_id % 200 AS DOUBLE) / 10 AS rms"]
+    return ["user_id * 100 + day(ts) AS clip", f"coalesce({ROLE}, 'UNK') AS role", "CAST(1 + event_id % 5 AS INT) AS intensity", "CASE WHEN event_id % 11 <> 0 THEN 80 + value END AS f0",
+            "CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 37 AS DOUBLE) END AS f0_std", "-40 + CAST(event_id % 200 AS DOUBLE) / 10 AS rms", "CASE WHEN event_id % 17 <> 0 THEN -43 + CAST(event_id % 190 AS DOUBLE) / 10 END AS lufs"]
 
 
 def _metrics_big() -> list[str]:
     return ["l_orderkey AS clip", "CASE l_returnflag WHEN 'A' THEN 'AGG' WHEN 'R' THEN 'VIC' ELSE 'BYS' END AS role", "CAST(1 + (l_linenumber - 1) % 5 AS INT) AS intensity",
-            "CASE WHEN l_partkey % 11 <> 0 THEN 80 + l_extendedprice / 250 END AS f0", "-40 + 200 * l_discount - 50 * l_tax AS rms"]
+            "CASE WHEN l_partkey % 11 <> 0 THEN 80 + l_extendedprice / 250 END AS f0", "CASE WHEN l_partkey % 11 <> 0 THEN l_quantity END AS f0_std", "-40 + 200 * l_discount - 50 * l_tax AS rms",
+            "CASE WHEN l_partkey % 17 <> 0 THEN -43 + 200 * l_discount END AS lufs"]
 
 
 def _clip() -> list[str]:
     return ["o_orderkey AS clip", f"{TYPOLOGY} AS typology", f"{TIER} AS tier", "o_totalprice / 1000 AS duration", "CAST(1 + o_orderkey % 5 AS INT) AS max_intensity", "o_custkey AS custkey",
-            "CASE WHEN o_orderkey % 7 = 0 THEN 'unassigned' WHEN o_orderkey % 7 < 5 THEN 'train' ELSE 'val' END AS split", "o_orderkey % 9 AS slot"]
+            "CASE WHEN o_orderkey % 7 = 0 THEN 'unassigned' WHEN o_orderkey % 7 < 5 THEN 'train' ELSE 'val' END AS split", "o_orderkey % 9 AS slot",
+            "CASE WHEN o_orderkey % 2 = 0 THEN 'she_proves' ELSE 'elephant_in_the_room' END AS project", "CAST(o_orderkey % 4 AS INT) AS n_caps", "o_orderkey % 13 <> 0 AS has_strong_labels"]
 
 
 def _turn() -> list[str]:
@@ -46,8 +49,9 @@ VIEWS = {
     "v_turn_metrics": "SELECT " + ", ".join(_metrics()) + " FROM events",
     "v_turn_metrics_big": "SELECT " + ", ".join(_metrics_big()) + " FROM lineitem",
     "v_clip": "SELECT " + ", ".join(_clip()) + " FROM orders",
-    "v_clip_speaker": "SELECT DISTINCT l_orderkey AS clip, l_suppkey AS speaker FROM lineitem WHERE l_partkey % 50 = 0",
-    "v_clip_speaker_all": "SELECT DISTINCT l_orderkey AS clip, l_suppkey AS speaker FROM lineitem",
+    "v_clip_speaker": "SELECT DISTINCT l_orderkey AS clip, l_orderkey // 28 * 10 + l_suppkey % 3 AS speaker FROM lineitem",
+    "v_clip_backend": "SELECT o_orderkey AS clip, CASE WHEN o_orderkey % 9 = 1 THEN MAP {} WHEN o_orderkey % 9 > 1 THEN MAP {'AGG': 'tts_' || (o_orderkey % 3), 'VIC': 'tts_' || (o_orderkey % 2)} END AS tts_backend FROM orders",
+    "v_clip_flags": "SELECT o_orderkey AS clip, list_filter([CASE WHEN o_orderkey % 5 = 0 THEN 'low_snr' END, CASE WHEN o_orderkey % 3 = 0 THEN 'clipping' END], lambda x: x IS NOT NULL) AS quality_flags FROM orders",
     "v_turn": "SELECT " + ", ".join(_turn()) + " FROM conversations",
 }
 
@@ -69,14 +73,25 @@ def clips(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clip_speakers(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "lineitem").where("l_partkey % 50 = 0").select(F.col("l_orderkey").alias("clip"), F.col("l_suppkey").alias("speaker")).distinct()
+    """Clips of one block of order keys share three speakers, so that components are small."""
+    return read(spark, d, "lineitem").selectExpr("l_orderkey AS clip", "l_orderkey DIV 28 * 10 + l_suppkey % 3 AS speaker").distinct()
 
 
-def clip_speakers_all(spark: SparkSession, d: str) -> DataFrame:
-    """From every row of lineitem; clip_speakers takes those of one part in 50."""
+def clip_suppliers(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as speakers, which connects nearly all clips."""
     return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("clip"), F.col("l_suppkey").alias("speaker")).distinct()
 
 
+def clip_backends(spark: SparkSession, d: str) -> DataFrame:
+    """clip, tts_backend: a map of role and backend; null and empty maps among them."""
+    full = "map('AGG', concat('tts_', o_orderkey % 3), 'VIC', concat('tts_', o_orderkey % 2))"
+    return read(spark, d, "orders").selectExpr("o_orderkey AS clip", f"CASE WHEN o_orderkey % 9 = 1 THEN CAST(map() AS MAP<STRING, STRING>) WHEN o_orderkey % 9 > 1 THEN {full} END AS tts_backend")
+
+
+def clip_flags(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "orders").selectExpr("o_orderkey AS clip", "array_compact(array(CASE WHEN o_orderkey % 5 = 0 THEN 'low_snr' END, CASE WHEN o_orderkey % 3 = 0 THEN 'clipping' END)) AS quality_flags")
+
+
 def turns(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "conversations").selectExpr(*_turn())
 
