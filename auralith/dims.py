@@ -15,6 +15,23 @@ EVENT_BANDS = [
     ("SV", 4, "DIST", "DIST_SCREAM"),
     ("SV", 5, "PHYS", "PHYS_HARD"),
 ]
+# Tier 1 categories and their tier 2 subtypes.
+TAXONOMY = [
+    ("PHYS", "PHYS_SOFT PHYS_HARD PHYS_WEAP PHYS_MOVE"),
+    ("VERB", "VERB_HUMIL VERB_THREAT VERB_SHOUT VERB_COER"),
+    ("DIST", "DIST_SCREAM DIST_PLEAD DIST_CRY DIST_BREATH DIST_CHILD"),
+    ("ACOU", "ACOU_BREAK ACOU_SLAM ACOU_THROW ACOU_FOOT ACOU_FALL"),
+    ("EMOT", "EMOT_GASLIT EMOT_ISOL EMOT_ECON EMOT_LEGAL"),
+    ("NONE", "NONE_ARGU NONE_SPORT NONE_CHILD NONE_CRY_SAFE NONE_LAUGH NONE_CLINIC NONE_AMBIENT"),
+]
+TIER1 = [t for t, _ in TAXONOMY]
+PARENTS = [(code, t) for t, codes in TAXONOMY for code in codes.split()]
+# Typologies, roles, tiers, label sources, quality flags, mix modes, projects.
+TYPOLOGIES, ROLES, TIERS, LABEL_SOURCES = ["SV", "IT", "NEG", "NEU"], ["AGG", "VIC", "BYS", "UNK"], ["A", "B", "C"], ["auto", "human", "auto_reviewed"]
+QUALITY_FLAGS = ["low_snr", "clipping", "short_silence_pad", "label_uncertainty", "iaa_disagreement", "synthetic_artifact", "emotion_downgrade", "vic_f0_high", "agg_no_escalation", "warn_no_overlap", "warn_emotion_downgrade"]
+PROJECTS = ["she_proves", "elephant_in_the_room"]
+# Scene phase -> share of the duration where it begins.
+PHASES = [("baseline", 0.05), ("tension", 0.25), ("escalation", 0.45), ("peak", 0.65), ("aftermath", 0.80), ("de-escalation", 0.90)]
 # Emotions of the taxonomy.
 EMOTIONS = ["anger", "fear", "panic", "distress", "neutral", "calm", "contempt", "submission", "grief", "confusion", "defiance", "shame", "desperation"]
 # Other words for emotions.
@@ -40,6 +57,8 @@ OVERLAP_CHANCES = [
 ]
 # Context -> shortest and longest gap in seconds.
 GAPS = [("vic_low", 0.3, 0.6), ("vic_i3", 0.15, 0.35), ("vic_i4", 0.05, 0.15), ("vic_i5", 0.1, 0.3), ("agg_low", 0.2, 0.5), ("agg_high", 0.05, 0.2), ("agg_pause", 0.6, 1.4)]
+# The same of the second project.
+GAPS_2 = [("vic_low", 0.25, 0.5), ("vic_i3", 0.1, 0.3), ("vic_i4", 0.05, 0.1), ("vic_i5", 0.08, 0.2), ("agg_low", 0.15, 0.4), ("agg_high", 0.05, 0.15), ("agg_pause", 0.5, 1.2)]
 BARGE_IN_DEPTH, OVERLAP_DEPTH, PAUSE_CHANCE = (0.20, 0.50), (0.10, 0.35), 0.30
 
 

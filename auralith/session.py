@@ -1,5 +1,6 @@
 """Session with the settings that the operators expect, and the shared folder for checkpoints."""
 
+import gc
 import re
 import tempfile
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def session(master: str = "local[*]", **conf: str) -> SparkSession:
     settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true",
-                "spark.cleaner.referenceTracking.cleanCheckpoints": "true", "spark.ui.enabled": "false"}
+                "spark.ui.enabled": "false"}
     return SparkSession.builder.master(master).config(map=settings | conf).getOrCreate()
 
 
@@ -23,6 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and the executors share")
             folder = tempfile.mkdtemp(prefix="auralith-")
         context.setCheckpointDir(folder)
+        # checkpoints go when nothing refers to them any more; the setting is read when one is written
+        context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -30,3 +33,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts lineage in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner find the shuffle files and checkpoints that nothing refers to any more; for between the phases of long jobs, where disk would add up."""
+    gc.collect()
+    spark._jvm.System.gc()
