@@ -5,7 +5,6 @@ from __future__ import annotations
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
 from typing import Any
 
 import pyarrow as pa
@@ -13,32 +12,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from auralith.session import checkpointed, shared_folder
+from auralith.session import checkpointed, shared_folder, tidy  # noqa: F401
+from auralith.skew import BROADCAST_ROWS, HEAVY, heavy_keys, hot_values, join_skewed, join_small  # noqa: F401
 
-#: The most rows of a table that is sent to every executor; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 20_000
 #: Rows that a Python operator holds at once; long texts shorten its output batches further.
 SLICE_ROWS, SLICE_BYTES = 512, 4_000_000
 #: White space as the word rules of these operators define it (a Java, RE2 and Python character class).
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: A key with so many rows is joined by broadcast where it is among the BROADCAST_ROWS most frequent.
-HEAVY = 500
 #: Bounds of a fit's sample: bytes of a text that takes part, and of all texts.
 FIT_TEXT_BYTES, FIT_BYTES = 262_144, 24_000_000
-_STORED: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows, written as a table in the shared folder and read again: cuts lineage like a checkpoint, and later readers take only the columns they need."""
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written as a table in the shared folder and read again, and its path: cuts lineage like a checkpoint, and later readers take only the
+    columns they need. Whoever stores it deletes it."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STORED.append(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -47,39 +42,6 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def drop_stored(spark: SparkSession) -> None:
-    """Deletes the tables that stored() has written so far; to be called when nothing reads them any more."""
-    while _STORED:
-        delete(spark, _STORED.pop())
-
-
-def join_small(left: DataFrame, small: DataFrame, on: Column, rows: int, how: str = "left") -> DataFrame:
-    """Joins a table of a counted size: broadcast up to BROADCAST_ROWS rows, else as Spark plans it."""
-    return left.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, on, how)
-
-
-def heavy_keys(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
-    """The keys with more than HEAVY rows, at most BROADCAST_ROWS of them, the most frequent, and the salts that join_skewed deals each over. counts: a row a key, n its rows."""
-    most = counts.where(F.col(n) > HEAVY).orderBy(F.desc(n), *keys).limit(BROADCAST_ROWS)
-    return checkpointed(most.select(*keys, F.ceil(F.col(n) / HEAVY).cast("int").alias("salts")))
-
-
-def hot_values(rows: DataFrame, *columns: str) -> DataFrame:
-    """hot, salts: the values that the columns hold in more than HEAVY places (see heavy_keys)."""
-    return heavy_keys(rows.select(F.explode(F.array(*columns)).alias("hot")).groupBy("hot").agg(F.count("*").alias("n")), ["hot"], "n")
-
-
-def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataFrame, how: str = "inner") -> DataFrame:
-    """left joined (inner or left) to right, which has one row for each value of the keys. The rows of a heavy key are dealt over its salts and right's row is
-    repeated for each of them, so that no task gets a key's rows all. heavy: the keys and their salts in this order, from heavy_keys. Null keys meet nothing."""
-    known = F.broadcast(heavy.toDF(*[f"__h{i}" for i in range(len(keys))], "__salts"))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)])
-    salts = F.coalesce("__salts", F.lit(1))
-    dealt = left.join(known, on, "left").select(*left.columns, F.pmod(F.xxhash64(*left.columns), salts).cast("int").alias("__salt"))
-    repeated = right.join(known, on, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("__salt"))
-    return dealt.join(repeated, [*keys, "__salt"], how).drop("__salt")
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows: int, size: int = FIT_BYTES) -> DataFrame:
     """(text, y) of at most `rows` labelled documents outside `held_out` and `size` bytes of text, chosen by a hash of doc_id; the bounds are the fit's parameters.
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, hot_values, join_skewed, stored
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, hot_values, join_skewed, stored, tidy
 
 #: The similarity from which two sets link, as a fraction.
 SIMILAR = (4, 5)
@@ -120,13 +120,15 @@ def candidates(sets: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs a0, a1, b0, b1 whose sets link, by the whole sets. pairs: checkpointed; sets: s0, s1, hashes."""
+    """The pairs a0, a1, b0, b1 whose sets link, by the whole sets; checkpointed. pairs: checkpointed; sets: s0, s1, hashes, rows may repeat."""
+    spark = pairs.sparkSession
     ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
     needed = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("s")).distinct().select("s.s0", "s.s1"))
     n = needed.count()
     own = sets.select("s0", "s1", "hashes")
     # few: they go to the sets; else the sets are shuffled once
-    own = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi"))
+    own, path = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi").groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
+    tidy(spark)
     hot = hot_values(ends, "a", "b")
     side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name))
     both = join_skewed(join_skewed(ends, side("a", "x"), ["a"], hot), side("b", "y"), ["b"], hot)
@@ -140,4 +142,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ok.append(SIMILAR[1] * shared >= SIMILAR[0] * (len(x) + len(y) - shared))
             yield batch.select(["a0", "a1", "b0", "b1"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "x", "y").toDF("a0", "a1", "b0", "b1", "x", "y").mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")
+    out = checkpointed(both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "x", "y").toDF("a0", "a1", "b0", "b1", "x", "y").mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint"))
+    delete(spark, path)
+    tidy(spark)
+    return out

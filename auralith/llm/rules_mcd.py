@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import SPACE, WORD, checkpointed, join_small, stored
+from auralith.llm.common import SPACE, WORD, checkpointed, join_small
 
 WINDOW = 8
 MIN_WORDS, REPEAT_PERCENT = 20, 30
@@ -228,7 +228,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The given columns of the documents that the rules keep.
 
-    The counts are made once and written with their rows as a table in the shared folder; the estimates read its narrow columns only.
+    The counts are made once and checkpointed with their rows; the estimates work on a narrow table made from it in one pass.
     """
-    counted = stored(base_counts(docs.select(F.struct(*columns).alias("__row"), "text", "lang", "source"), ["__row", "lang", "source"]))
+    counted = checkpointed(base_counts(docs.select(F.struct(*columns).alias("__row"), "text", "lang", "source"), ["__row", "lang", "source"]))
     return judge(counted, fit(counted)).where("kept").select("__row.*")

@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auralith.llm import jaccard
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored
-from auralith.llm.components import connected
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored, tidy
+from auralith.operators.graph import connected
 
 SEED = 42
 #: Shingle hashes that are counted at once.
@@ -291,24 +291,29 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     prints = [f"f{i}" for i in range(lanes)]
     hashes = lambda text: shingles(text, words)
     rows = _signatures(docs, words, lanes, jaccard.common_hashes(docs, hashes))
+    rows, path = stored(rows)
     # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
-    sets = rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "first", "hashes")).alias("x"))
-    sets = stored(sets.select("s0", "s1", "doc_id", "x.*"))
+    sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n")).alias("x")).select("s0", "s1", "doc_id", "x.*"))
     holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s"), F.count("*").alias("sets")))
     near = _of_prints(links(holders.select(*prints), bits, segments, radius), holders.select(*prints, F.col("s").alias("as")), prints)
     same = join_skewed(sets.select("s0", "s1", *prints), holders.select(*prints, "s"), prints, heavy_keys(holders, prints, "sets")).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
     near = near.select("a", "b").union(same).select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1")).toDF("a0", "a1", "b0", "b1")
-    sure = checkpointed(jaccard.linked(checkpointed(near), sets))
+    near = checkpointed(near)
+    tidy(docs.sparkSession)
+    sure = jaccard.linked(near, rows)
 
     def grouped(edges: DataFrame) -> DataFrame:
         roots = connected(edges.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b")))
-        return sets.join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1")))
+        return checkpointed(sets.select("s0", "s1", "doc_id", "n").join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1"))))
 
-    first = checkpointed(grouped(sure).select("s0", "s1", "n", "first", "doc_id", "root"))
+    groups = grouped(sure)
     # the first half of a root's name tells groups apart
-    maybe = checkpointed(jaccard.candidates(first.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
-    more = checkpointed(jaccard.linked(maybe, sets))
-    out = first if more.isEmpty() else grouped(sure.union(more))
+    firsts = rows.groupBy("s0", "s1").agg(F.min("first").alias("first")).join(groups, ["s0", "s1"])
+    maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
+    tidy(docs.sparkSession)
+    more = jaccard.linked(maybe, rows)
+    out = groups if more.isEmpty() else grouped(sure.union(more))
+    delete(docs.sparkSession, path)
     return out.select("s0", "s1", "doc_id", "root")
 
 
