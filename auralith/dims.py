@@ -50,6 +50,8 @@ DRIFT_TARGETS = [
     ("AGG", 1, 1.00, 0.0, 0.0), ("AGG", 2, 1.03, 0.2, 1.0), ("AGG", 3, 1.08, 0.5, 2.0), ("AGG", 4, 1.12, 1.0, 3.0), ("AGG", 5, 1.15, 1.5, 4.0),
     ("VIC", 1, 1.00, 0.0, 0.0), ("VIC", 2, 0.98, 0.1, -0.5), ("VIC", 3, 0.94, 0.3, -1.5), ("VIC", 4, 0.90, 0.5, -2.5), ("VIC", 5, 0.87, 0.7, -3.0),
 ]
+# A victim's breathiness by intensity.
+BREATHINESS = [0.0, 0.0, 0.33, 0.67, 1.0]
 # Fixed values: (previous role, role, intensity) -> chances of a barge-in and of an overlap.
 OVERLAP_CHANCES = [
     ("VIC", "AGG", 1, 0.02, 0.05), ("VIC", "AGG", 2, 0.05, 0.08), ("VIC", "AGG", 3, 0.10, 0.15), ("VIC", "AGG", 4, 0.25, 0.20), ("VIC", "AGG", 5, 0.40, 0.15),

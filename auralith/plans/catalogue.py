@@ -193,20 +193,51 @@ def with_speakers(spark: SparkSession, d: str) -> DataFrame:
 
 
 simple("W7_prev_turn", V.turns, timeline.previous_turn, "SELECT scene, idx, lag(role) OVER w AS prev_role, lag(intensity) OVER w AS prev_intensity FROM v_turn WINDOW w AS (PARTITION BY scene ORDER BY idx)")
-simple("W5a_script_timeline", V.turns, timeline.script_timeline, "SELECT scene, idx, round(e - seconds, 6) AS onset, round(e, 6) AS offset FROM (SELECT *, sum(CASE WHEN intensity < 4 THEN 0.25::DOUBLE ELSE 0 END + seconds) OVER (PARTITION BY scene ORDER BY idx ROWS UNBOUNDED PRECEDING) AS e FROM v_turn )")
-simple("W3_lead_truncated", V.turns, timeline.truncated_by_next, "SELECT scene, idx, coalesce(lead(intensity) OVER (PARTITION BY scene ORDER BY idx) = 5, false) OR seconds = 0 AS truncated FROM v_turn ")
+simple("W5a_script_timeline", V.turns, timeline.script_timeline, "SELECT scene, idx, round(e - seconds, 6) AS onset, round(e, 6) AS offset FROM (SELECT *, sum(CASE WHEN mode = 'sequential' THEN greatest(amount, 0) ELSE 0 END + seconds) OVER (PARTITION BY scene ORDER BY idx ROWS UNBOUNDED PRECEDING) AS e FROM v_turn )")
+TIMELINE = """n AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY idx) AS k FROM v_turn ),
+s AS (SELECT scene, idx, k, samples, speech_end, CAST(floor(greatest(amount, 0) * 16000) AS BIGINT) AS first, greatest(amount, 0)::DOUBLE AS script_onset, greatest(amount, 0)::DOUBLE + samples / 16000 AS script_offset, CAST(0 AS BIGINT) AS earlier, CAST(NULL AS BIGINT) AS prev_end
+  FROM n WHERE k = 1
+UNION ALL SELECT scene, idx, k, samples, speech_end, first, script_onset, script_onset + samples / 16000,
+    greatest(earlier, CASE WHEN mode = 'barge_in' AND first - p_first <= 0 THEN p_first WHEN mode = 'barge_in' AND p_speech > first - p_first THEN p_first + p_speech ELSE p_first + p_samples END),
+    CASE WHEN mode = 'barge_in' AND first - p_first <= 0 THEN p_first WHEN mode = 'barge_in' AND p_speech > first - p_first THEN p_first + p_speech ELSE p_first + p_samples END
+  FROM (SELECT t.scene, t.idx, t.k, t.samples, t.speech_end, t.mode, s.earlier, s.first AS p_first, s.samples AS p_samples, least(s.speech_end, s.samples) AS p_speech,
+    CASE WHEN t.mode = 'sequential' THEN s.script_offset + greatest(t.amount, 0) ELSE s.script_offset END AS script_onset,
+    CAST(floor(16000 * CASE WHEN t.mode = 'sequential' THEN greatest(s.earlier, s.first + s.samples) / 16000 + greatest(t.amount, 0)
+      ELSE greatest(s.first / 16000, s.first / 16000 + s.speech_end / 16000 - least(greatest(t.amount, 0), s.speech_end / 16000)) END) AS BIGINT) AS first
+    FROM s JOIN n t ON t.scene = s.scene AND t.k = s.k + 1)),
+tl AS (SELECT s.scene, s.idx, s.script_onset, s.script_offset, s.first / 16000 AS onset, coalesce(x.prev_end, s.first + s.samples) / 16000 AS ends FROM s LEFT JOIN s x ON x.scene = s.scene AND x.k = s.k + 1)"""
+simple("W5b_rendered_timeline", V.turns, timeline.rendered_timeline, f"WITH RECURSIVE {TIMELINE} SELECT scene, idx, round(script_onset, 7) AS script_onset, round(script_offset, 7) AS script_offset, round(onset, 7) AS onset, round(ends, 7) AS \"offset\" FROM tl")
+
+
+@query("W3_truncated", f"WITH RECURSIVE {TIMELINE} SELECT t.scene, t.idx, coalesce(lead(mode) OVER (PARTITION BY t.scene ORDER BY t.idx) = 'barge_in', false) OR round(ends, 7) - round(onset, 7) < seconds - 2 / 16000 OR seconds = 0 AS truncated FROM v_turn t JOIN tl USING (scene, idx)")
+def truncated(spark: SparkSession, d: str) -> DataFrame:
+    turns = V.turns(spark, d)
+    return timeline.truncated_by_next(timeline.audible(turns, timeline.rendered_timeline(turns)).withColumn("truncated", F.col("seconds") == 0))
+
+
+@query("P11_label_times", f"WITH RECURSIVE {TIMELINE}, a AS (SELECT t.scene, t.idx, seconds, round(onset, 7) AS onset, round(ends, 7) AS ends FROM v_turn t JOIN tl USING (scene, idx)) SELECT scene, idx, round(onset + 0.5, 7) AS onset, round(greatest(ends + 0.5, onset + 0.5 + CASE WHEN ends - onset < seconds - 2 / 16000 THEN 1 / 16000 ELSE 0.1 END), 7) AS \"offset\", ends - onset < seconds - 2 / 16000 AS truncated FROM a")
+def label_times(spark: SparkSession, d: str) -> DataFrame:
+    turns = V.turns(spark, d)
+    return timeline.label_times(turns.select("scene", "idx", "seconds").join(timeline.rendered_timeline(turns), ["scene", "idx"]))
+
+
+simple("A26_dominant_mode", V.turns, qa.dominant_mode, "WITH m AS (SELECT scene, mode, count(*) AS n, min(idx) AS first FROM v_turn GROUP BY ALL) SELECT scene, arg_max(mode, n * 1000000 - first) AS mode FROM m GROUP BY scene")
+simple("W16_monotonic", V.turns, lambda t: timeline.monotonic(t, ["scene"], "idx", "seconds"), "SELECT scene, bool_and(ok) AS monotonic FROM (SELECT scene, coalesce(lag(seconds) OVER (PARTITION BY scene ORDER BY idx) <= seconds + 0.01, true) AS ok FROM v_turn ) GROUP BY scene")
 TARGETS = dims.values(dims.DRIFT_TARGETS, "t_role, t_i, t_rate, t_pitch, t_volume")
 STEP = "CASE WHEN t.intensity >= s.i THEN 0.6::DOUBLE ELSE 0.3::DOUBLE END"
-simple("W6_speaker_state", V.turns, timeline.speaker_drift, f"""WITH RECURSIVE n AS (SELECT scene, role, idx, intensity, coalesce(t_rate, 1) AS r, coalesce(t_pitch, 0) AS p, coalesce(t_volume, 0) AS v, row_number() OVER (PARTITION BY scene, role ORDER BY idx) AS k FROM v_turn LEFT JOIN {TARGETS} x ON role = t_role AND intensity = t_i),
-s AS (SELECT scene, role, idx, k, intensity AS i, 1::DOUBLE AS rate, 0::DOUBLE AS pitch, 0::DOUBLE AS volume, 0.6::DOUBLE * (r - 1) + 1 AS nr, 0.6::DOUBLE * p AS np, 0.6::DOUBLE * v AS nv FROM n WHERE k = 1
-UNION ALL SELECT t.scene, t.role, t.idx, t.k, t.intensity, s.nr, s.np, s.nv, s.nr + {STEP} * (t.r - s.nr), s.np + {STEP} * (t.p - s.np), s.nv + {STEP} * (t.v - s.nv) FROM s JOIN n t ON t.scene = s.scene AND t.role = s.role AND t.k = s.k + 1)
-SELECT scene, role, idx, round(rate, 6) AS rate, round(pitch, 6) AS pitch, round(volume, 6) AS volume FROM s""")
+DRIFT = f"""n AS (SELECT scene, speaker, idx, intensity, coalesce(t_rate, 1) AS r, coalesce(t_pitch, 0) AS p, coalesce(t_volume, 0) AS v, CASE WHEN role = 'VIC' THEN {dims.BREATHINESS}[intensity]::DOUBLE ELSE 0 END AS b, row_number() OVER (PARTITION BY scene, speaker ORDER BY idx) AS k FROM v_turn LEFT JOIN {TARGETS} x ON role = t_role AND intensity = t_i),
+s AS (SELECT scene, speaker, idx, k, intensity AS i, 1::DOUBLE AS rate, 0::DOUBLE AS pitch, 0::DOUBLE AS volume, 0::DOUBLE AS breathiness, 0.6::DOUBLE * (r - 1) + 1 AS nr, 0.6::DOUBLE * p AS np, 0.6::DOUBLE * v AS nv, 0.6::DOUBLE * b AS nb FROM n WHERE k = 1
+UNION ALL SELECT t.scene, t.speaker, t.idx, t.k, t.intensity, s.nr, s.np, s.nv, s.nb, s.nr + {STEP} * (t.r - s.nr), s.np + {STEP} * (t.p - s.np), s.nv + {STEP} * (t.v - s.nv), s.nb + {STEP} * (t.b - s.nb) FROM s JOIN n t ON t.scene = s.scene AND t.speaker = s.speaker AND t.k = s.k + 1)"""
+simple("W6_speaker_state", V.turns, timeline.speaker_drift, f"WITH RECURSIVE {DRIFT} SELECT scene, speaker, idx, round(rate, 6) AS rate, round(pitch, 6) AS pitch, round(volume, 6) AS volume, round(breathiness, 6) AS breathiness FROM s")
+simple("A29_last_states", V.turns, lambda t: qa.last_states(timeline.speaker_drift(t)), f"WITH RECURSIVE {DRIFT} SELECT scene, speaker, round_even(round(arg_max(rate, idx), 6), 4) AS rate, round_even(round(arg_max(pitch, idx), 6), 4) AS pitch, round_even(round(arg_max(volume, idx), 6), 4) AS volume FROM s GROUP BY ALL")
 DRAW = "(('0x' || substr(md5('42|' || scene || '|' || idx || '|{}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
-simple("N1_gap_controller", V.turns, timeline.turn_gaps, f"""WITH l AS (SELECT *, lag(role) OVER w AS pr, lag(intensity) OVER w AS pi FROM v_turn WINDOW w AS (PARTITION BY scene ORDER BY idx)),
-m AS (SELECT l.*, CASE WHEN pr IS NOT NULL AND {DRAW.format('roll')} < barge THEN 'barge_in' WHEN pr IS NOT NULL AND {DRAW.format('roll')} < barge + overlap THEN 'overlap' ELSE 'sequential' END AS mode,
-CASE WHEN pr IS NULL THEN 'agg_low' WHEN role = 'VIC' THEN CASE WHEN pi <= 2 THEN 'vic_low' WHEN pi = 3 THEN 'vic_i3' WHEN pi = 4 THEN 'vic_i4' ELSE 'vic_i5' END WHEN role = 'AGG' AND intensity >= 4 THEN CASE WHEN {DRAW.format('pause')} < 0.3 THEN 'agg_pause' ELSE 'agg_high' END ELSE 'agg_low' END AS context
+GAP_SQL = f"""WITH l AS (SELECT *, lag(role) OVER w AS pr, lag(intensity) OVER w AS pi FROM v_turn WINDOW w AS (PARTITION BY scene ORDER BY idx)),
+m AS (SELECT l.*, CASE WHEN pr IS NOT NULL AND {DRAW.format('roll')} < barge THEN 'barge_in' WHEN pr IS NOT NULL AND {DRAW.format('roll')} < barge + overlap THEN 'overlap' ELSE 'sequential' END AS gm,
+CASE WHEN pr IS NULL THEN 'agg_low' WHEN role = 'VIC' THEN CASE WHEN pi <= 2 THEN 'vic_low' WHEN pi = 3 THEN 'vic_i3' WHEN pi = 4 THEN 'vic_i4' ELSE 'vic_i5' END WHEN role = 'AGG' AND intensity >= 4 THEN CASE WHEN {DRAW.format('pause')} < 0.3 THEN 'agg_pause' ELSE 'agg_high' END WHEN role = 'AGG' AND intensity = 3 THEN 'agg_high' ELSE 'agg_low' END AS context
 FROM l LEFT JOIN {dims.values(dims.OVERLAP_CHANCES, 'c_prev, c_role, c_i, barge, overlap')} c ON pr = c_prev AND role = c_role AND intensity = c_i)
-SELECT scene, idx, mode, round(CASE mode WHEN 'barge_in' THEN 0.2 + (0.5 - 0.2) * {DRAW.format('amount')} WHEN 'overlap' THEN 0.1 + (0.35 - 0.1) * {DRAW.format('amount')} ELSE low + (high - low) * {DRAW.format('amount')} END, 6) AS amount FROM m JOIN {dims.values(dims.GAPS, 'context, low, high')} g USING (context)""")
+SELECT scene, idx, gm AS mode, round(CASE gm WHEN 'barge_in' THEN 0.2 + (0.5 - 0.2) * {DRAW.format('amount')} WHEN 'overlap' THEN 0.1 + (0.35 - 0.1) * {DRAW.format('amount')} ELSE low + (high - low) * {DRAW.format('amount')} END, 6) AS amount FROM m JOIN GAP_TABLE g USING (context)"""
+simple("N1_gap_controller", V.turns, timeline.turn_gaps, GAP_SQL.replace("GAP_TABLE", dims.values(dims.GAPS, "context, low, high")))
+simple("N1b_gap_controller_2", V.turns, lambda t: timeline.turn_gaps(t, table=dims.GAPS_2), GAP_SQL.replace("GAP_TABLE", dims.values(dims.GAPS_2, "context, low, high")))
 simple("W15_spearman", V.turn_metrics, lambda m: labels.spearman(m.where("f0 IS NOT NULL").select("f0", "rms"), "f0", "rms"), "WITH r AS (SELECT rank() OVER (ORDER BY f0) + (count(*) OVER (PARTITION BY f0) - 1) / 2 AS x, rank() OVER (ORDER BY rms) + (count(*) OVER (PARTITION BY rms) - 1) / 2 AS y FROM v_turn_metrics WHERE f0 IS NOT NULL) SELECT round(corr(x, y), 6) AS rho, count(*) AS n FROM r")
 
 

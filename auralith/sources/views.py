@@ -39,7 +39,10 @@ def _clip() -> list[str]:
 
 
 def _turn() -> list[str]:
-    return ["conv_id AS scene", "turn AS idx", f"{TURN_ROLE} AS role", "CAST(1 + length(text) % 5 AS INT) AS intensity", "CAST(length(text) % 97 AS DOUBLE) / 10 AS seconds", "text"]
+    return ["conv_id AS scene", "turn AS idx", f"{TURN_ROLE} AS role", "CAST(1 + length(text) % 5 AS INT) AS intensity", "CAST(length(text) % 97 AS DOUBLE) / 10 AS seconds", "text",
+            f"{TURN_ROLE} || CASE WHEN turn % 4 = 3 THEN '_2' ELSE '_1' END AS speaker", "CAST(length(text) % 11 AS DOUBLE) / 10 - 0.1 AS amount",
+            "CASE WHEN turn = 0 THEN 'sequential' WHEN length(text) % 5 = 3 THEN 'barge_in' WHEN length(text) % 5 = 4 THEN 'overlap' ELSE 'sequential' END AS mode",
+            "CAST(length(text) % 97 * 1600 AS BIGINT) AS samples", "CAST(length(text) % 97 * 1600 - length(text) % 3 * 160 * CASE WHEN length(text) % 97 = 0 THEN 0 ELSE 1 END AS BIGINT) AS speech_end"]
 
 
 DUCK_ONSET = f"(epoch_us(ts) - {EPOCH_US})"
