@@ -15,15 +15,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, hot_values, join_skewed, stored, tidy
+from auralith.llm.common import checkpointed, delete, hot_values, join_skewed, stored, tidy
 
 #: The similarity from which two sets link, as a fraction.
 SIMILAR = (4, 5)
 #: About so many texts are looked at for common hashes: those in COMMON of them or more, and at most MOST_COMMON hashes.
-SAMPLE, COMMON, MOST_COMMON = 4_000, 4, 50_000
+SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 200_000
 #: Runs of up to FEW rows are compared at once.
 FEW = 8
 NAME = ["s0", "s1"]
+#: Names of 16 bytes that are sent to every executor at most.
+NEEDED = 200_000
+#: Parts of the range of hashes that the hashes of a set are counted in, and the size of sets from which on the counts may not fit.
+PARTS, COUNTED = 64, 65_536
 
 
 def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
@@ -41,13 +45,13 @@ def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
     return np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
 
 
-def named(hashes: np.ndarray, common: np.ndarray) -> tuple[int, int, int, np.ndarray, bytes]:
-    """The set's name as two numbers, its size, its first hashes in the order of all, and the sorted set."""
+def named(hashes: np.ndarray, common: np.ndarray) -> tuple[int, int, int, np.ndarray, bytes, bytes]:
+    """The set's name as two numbers, its size, its first hashes in the order of all, the sorted set, and its counts by part of the range."""
     own = np.unique(hashes)
     digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), ">i8").tolist()
     often = common[np.searchsorted(common, own).clip(max=len(common) - 1)] == own if len(common) else np.zeros(len(own), bool)
     first = len(own) - -(-SIMILAR[0] * len(own) // SIMILAR[1]) + 1 if len(own) else 0
-    return *digest, len(own), np.r_[own[~often], own[often]][:first].view(np.int64), own.tobytes()
+    return *digest, len(own), np.r_[own[~often], own[often]][:first].view(np.int64), own.tobytes(), np.minimum(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=PARTS), COUNTED - 1).astype("<u2").tobytes()
 
 
 def _may_link(r: np.ndarray, n: np.ndarray, at: np.ndarray, a, b) -> np.ndarray:
@@ -119,6 +123,25 @@ def candidates(sets: DataFrame) -> DataFrame:
     return filed.mapInArrow(scan, schema).distinct()
 
 
+def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs a0, a1, b0, b1 that may link by their counts: two sets share no more hashes of a part of the range than either has there. sets: s0, s1, n, counts, each set once."""
+    ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
+    hot = hot_values(ends, "a", "b")
+    side = lambda end, n, c: sets.select(F.struct("s0", "s1").alias(end), F.col("n").alias(n), F.col("counts").alias(c))
+    both = join_skewed(join_skewed(ends, side("a", "n_x", "x"), ["a"], hot), side("b", "n_y", "y"), ["b"], hot)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, PARTS) for c in ("x", "y"))
+            n_x, n_y = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_x", "n_y"))
+            most = np.minimum(x, y).sum(1, dtype=np.int64)
+            ok = (sum(SIMILAR) * most >= SIMILAR[0] * (n_x + n_y)) | (np.maximum(n_x, n_y) >= COUNTED)
+            yield batch.select(["a0", "a1", "b0", "b1"]).filter(pa.array(ok))
+
+    flat = both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "n_x", "n_y", "x", "y").toDF("a0", "a1", "b0", "b1", "n_x", "n_y", "x", "y")
+    return flat.mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs a0, a1, b0, b1 whose sets link, by the whole sets; checkpointed. pairs: checkpointed; sets: s0, s1, hashes, rows may repeat."""
     spark = pairs.sparkSession
@@ -127,7 +150,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n = needed.count()
     own = sets.select("s0", "s1", "hashes")
     # few: they go to the sets; else the sets are shuffled once
-    own, path = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi").groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
+    own, path = stored(own.join(F.broadcast(needed) if n <= NEEDED else needed, NAME, "left_semi").groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
     tidy(spark)
     hot = hot_values(ends, "a", "b")
     side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name))

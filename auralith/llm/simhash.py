@@ -267,17 +267,17 @@ def _of_prints(edges: DataFrame, known: DataFrame, names: list[str]) -> DataFram
 
 
 def _signatures(docs: DataFrame, words: int, lanes: int, common: np.ndarray) -> DataFrame:
-    """doc_id, s0, s1 (name of the shingle set), n, first, hashes (see jaccard.named), f0.., of whole texts."""
+    """doc_id, s0, s1 (name of the shingle set), n, first, hashes, counts (see jaccard.named), f0.., of whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def work(texts: list[str]) -> list[pa.Array]:
         chunks = [list(_hash_chunks(t, words)) for t in texts]
         sets = [jaccard.named(np.concatenate([np.zeros(0, np.uint64), *c]).astype(np.uint64), shared.value) for c in chunks]
         made = np.array([_print(c, lanes) for c in chunks], np.int64).reshape(-1, lanes)
-        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()))]
+        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()))]
         return [*names, *[pa.array(made[:, i]) for i in range(lanes)]]
 
-    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, hashes binary, " + ", ".join(f"f{i} bigint" for i in range(lanes))
+    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, hashes binary, counts binary, " + ", ".join(f"f{i} bigint" for i in range(lanes))
     return map_texts(docs.select("doc_id", "text"), "text", schema, work).drop("text")
 
 
@@ -293,7 +293,7 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     rows = _signatures(docs, words, lanes, jaccard.common_hashes(docs, hashes))
     rows, path = stored(rows)
     # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
-    sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n")).alias("x")).select("s0", "s1", "doc_id", "x.*"))
+    sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "counts")).alias("x")).select("s0", "s1", "doc_id", "x.*"))
     holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s"), F.count("*").alias("sets")))
     near = _of_prints(links(holders.select(*prints), bits, segments, radius), holders.select(*prints, F.col("s").alias("as")), prints)
     same = join_skewed(sets.select("s0", "s1", *prints), holders.select(*prints, "s"), prints, heavy_keys(holders, prints, "sets")).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
@@ -311,6 +311,8 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     firsts = rows.groupBy("s0", "s1").agg(F.min("first").alias("first")).join(groups, ["s0", "s1"])
     maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
     tidy(docs.sparkSession)
+    maybe = checkpointed(jaccard.plausible(maybe, sets))
+    tidy(docs.sparkSession)
     more = jaccard.linked(maybe, rows)
     out = groups if more.isEmpty() else grouped(sure.union(more))
     delete(docs.sparkSession, path)
