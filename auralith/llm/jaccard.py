@@ -40,8 +40,15 @@ def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
             for text in batch.column(0):
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(text.as_py() or "")).view(np.int64))], names=["h"])
 
-    held = some.mapInArrow(run, "h bigint").groupBy("h").count().where(F.col("count") >= COMMON)
-    found = held.orderBy(F.desc("count"), "h").limit(MOST_COMMON).select("h").toArrow().column("h")
+    held = checkpointed(some.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON))
+    # the frequency from which on there are at most MOST_COMMON; a row a frequency comes to the driver, then the hashes
+    least, room = SAMPLE * 2, MOST_COMMON
+    for n, hashes_of in sorted((r["n"], r["count"]) for r in held.groupBy("n").count().collect())[::-1]:
+        room -= hashes_of
+        if room < 0:
+            break
+        least = n
+    found = held.where(F.col("n") >= least).select("h").toArrow().column("h")
     return np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
 
 
