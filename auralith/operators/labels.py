@@ -36,10 +36,10 @@ def nearest_style(rows: DataFrame, styles: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(styles)).groupBy("id", "i").agg(F.min_by("style", F.struct(F.abs(F.col("k") - F.col("i")), "k")).alias("style"))
 
 
-def ssml_percent(rate: Column, semitones: Column) -> tuple[Column, Column]:
-    """Signed whole percents, rounded half to even as the label format has it."""
-    percent = lambda c: F.format_string("%+d%%", F.bround(c, 0).cast("int"))
-    return percent((rate - 1) * 100), percent(semitones * 5.946)
+def ssml_percent(rate: Column, semitones: Column, db: Column) -> tuple[Column, Column, Column]:
+    """Signed whole percents of rate, pitch and volume, rounded half to even and within the format's bounds."""
+    percent = lambda c, low, high: F.format_string("%+d%%", F.greatest(F.lit(low), F.least(F.lit(high), F.bround(c, 0))).cast("int"))
+    return percent((rate - 1) * 100, -50, 200), percent(semitones * 5.946, -50, 50), percent(db, -50, 50)
 
 
 def prosody_cap(rate: Column, pitch: Column) -> tuple[Column, Column, Column]:
@@ -61,20 +61,6 @@ def event_ids(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.format_string("%s_EVT_%03d", F.col("clip").cast("string"), at).alias("label_id"))
 
 
-def parent_mismatch(events: DataFrame) -> DataFrame:
-    """Events whose category isn't their subtype's parent, or whose interval or intensity is out of range."""
-    bad = (F.split_part("tier2", F.lit("_"), F.lit(1)) != F.col("tier1")) | (F.col("offset_us") <= F.col("onset_us")) | ~F.col("intensity").between(1, 5)
-    return events.where(bad).select("event_id")
-
-
-def manifest(clips: DataFrame, speakers: DataFrame, splits: DataFrame) -> DataFrame:
-    """A flat row for each clip that has speakers; lists joined in order, missing splits empty."""
-    listed = speakers.groupBy("clip").agg(F.array_join(F.transform(F.array_sort(F.collect_set("speaker")), lambda s: s.cast("string")), "|").alias("speaker_ids"), F.count("*").alias("n_speakers"))
-    return clips.drop("split").join(listed, "clip").join(splits, "clip", "left").select(
-        "clip", "typology", "tier", F.round("duration", 6).alias("duration_seconds"), "max_intensity", "speaker_ids", "n_speakers",
-        F.coalesce(F.nullif(F.when(F.col("slot") % 3 == 0, F.lit("")).otherwise(F.lit("family")), F.lit("")), F.lit("voice")).alias("voice"), F.coalesce("split", F.lit("")).alias("split"))
-
-
 def stratified_cap(clips: DataFrame, most: int = 50, seed: int = 42) -> DataFrame:
     """L3: up to most clips of each typology, in hash order. Each partition keeps its own first ones before the shuffle."""
     order = Window.partitionBy("typology").orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("clip").cast("string"))))
@@ -109,3 +95,58 @@ def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
 
 def _average_ranks(counts: DataFrame, column: str) -> DataFrame:
     return sums_before(counts, "v", "n").select(F.col("v").alias(column), (F.col("before") + (F.col("n") + 1) / 2).alias("rank_" + column))
+
+
+def size_name(n: int) -> str:
+    """P15 of one number."""
+    edges = [(1_000, "n<1K"), (10_000, "1K<n<10K"), (100_000, "10K<n<100K"), (1_000_000, "100K<n<1M"), (10_000_000, "1M<n<10M"), (100_000_000, "10M<n<100M"), (1_000_000_000, "100M<n<1B")]
+    return next((name for top, name in edges if n < top), "n>1B")
+
+
+def sound_labels(sounds: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Labels of placed sounds that the taxonomy knows as acoustic events; already in clip time, 0.1 s long at least. sounds: clip, type, onset, offset; taxonomy: tier2."""
+    known = sounds.where(F.col("type").startswith("ACOU_")).join(F.broadcast(taxonomy), F.col("type") == F.col("tier2"), "left_semi")  # a fixed table
+    return known.select("clip", F.lit("ACOU").alias("tier1"), F.col("type").alias("tier2"), F.col("onset"), F.greatest("offset", F.col("onset") + 0.1).alias("offset"), F.lit(3).alias("intensity"), F.lit("sfx_augmentation").alias("notes"))
+
+
+def with_roles(turns: DataFrame, speakers: DataFrame, strict: bool = False) -> DataFrame:
+    """Each turn's speaker role; unknown speakers are UNK, or an error. speakers: speaker, role."""
+    out = turns.join(speakers.select("speaker", F.col("role").alias("__r")), "speaker", "left")
+    missing = F.raise_error(F.concat(F.lit("unknown speaker "), "speaker")).cast("string") if strict else F.lit("UNK")
+    return out.withColumn("role", F.coalesce("__r", missing)).drop("__r")
+
+
+def effective_prosody(style: dict[str, Column], base: dict[str, Column], state: dict[str, Column], jitter: dict[str, Column] | None = None) -> dict[str, Column]:
+    """Rate by multiplication, pitch and volume by addition, pitch within twelve semitones, then jitter (rate factor, pitch and volume offsets)."""
+    rate = style["rate"] * base["rate"] * state["rate"]
+    pitch = F.greatest(F.lit(-12.0), F.least(F.lit(12.0), style["pitch"] + state["pitch"]))
+    volume = style["volume"] + base["volume"] + state["volume"]
+    if jitter:
+        rate, pitch, volume = rate * jitter["rate"], pitch + jitter["pitch"], volume + jitter["volume"]
+    return {"rate": rate, "pitch": pitch, "volume": volume}
+
+
+def snr_target(own: Column, profile: Column, default: float = 20.0) -> Column:
+    """The profile's where the scene's is the default."""
+    return F.when(own == default, profile).otherwise(own)
+
+
+def rms_target(style: Column, role_default: Column) -> Column:
+    """P22."""
+    return F.coalesce(style, role_default)
+
+
+def scene_projection(events: Column) -> Column:
+    """P20: placed sounds with rounded times and levels."""
+    return F.transform(events, lambda e: F.struct(e["type"].alias("type"), F.bround(e["onset"], 3).alias("onset"), F.bround(e["offset"], 3).alias("offset"), F.bround(e["level_db"], 1).alias("level_db")))
+
+
+def preprocessing_record(peak: Column, denoised: Column) -> Column:
+    """What was done to a clip."""
+    true = F.lit(True)
+    return F.struct(true.alias("resampled_to_16k"), true.alias("downmixed_to_mono"), true.alias("spectral_filtered"), denoised.alias("denoised"), peak.alias("normalized_dbfs"), true.alias("silence_padded"))
+
+
+def int_keys(styles: Column) -> Column:
+    """A map with its keys as whole numbers."""
+    return F.transform_keys(styles, lambda k, v: k.cast("int"))

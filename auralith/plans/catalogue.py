@@ -162,7 +162,6 @@ def cap(spark: SparkSession, d: str) -> DataFrame:
 
 simple("A16_weak_labels", V.events, labels.weak_labels, "SELECT clip, bool_or(tier1 <> 'NONE') AS has_violence, coalesce(string_agg(DISTINCT tier1, ',' ORDER BY tier1) FILTER (tier1 <> 'NONE'), '') AS categories, max(intensity) AS max_intensity FROM v_event GROUP BY clip")
 simple("W4_event_ids", V.events, labels.event_ids, "SELECT event_id, clip || '_EVT_' || lpad(CAST(row_number() OVER (PARTITION BY clip ORDER BY onset_us, event_id) - 1 AS VARCHAR), 3, '0') AS label_id FROM v_event ")
-simple("J8_parent_check", V.events, labels.parent_mismatch, "SELECT event_id FROM v_event WHERE split_part(tier2, '_', 1) <> tier1 OR offset_us <= onset_us OR intensity NOT BETWEEN 1 AND 5")
 simple("L3_stratified_cap", V.clips, labels.stratified_cap, "SELECT typology, clip FROM v_clip QUALIFY row_number() OVER (PARTITION BY typology ORDER BY md5('42|' || clip)) <= 50")
 simple("L4_max_clips", V.clips, labels.max_clips, "SELECT clip FROM v_clip ORDER BY md5('42|' || clip) LIMIT 100")
 simple("L5_top20", V.clips, lambda c: c.select("clip", F.round("duration", 6).alias("duration")).orderBy(F.desc("duration"), "clip").limit(20), "SELECT clip, round(duration, 6) AS duration FROM v_clip ORDER BY 2 DESC, 1 LIMIT 20")
@@ -176,12 +175,6 @@ f AS (SELECT coalesce(min(before + n) FILTER (before + n >= goal), 0) AS filled
 SELECT clip, CASE WHEN before < goal THEN 'train' WHEN before - filled < goal_val THEN 'val' ELSE 'test' END AS split FROM g JOIN w USING (root), t, f""")
 
 
-@query("C3_manifest", "WITH l AS (SELECT clip, string_agg(CAST(speaker AS VARCHAR), '|' ORDER BY speaker) AS speaker_ids, count(*) AS n_speakers FROM v_clip_speaker GROUP BY clip) SELECT clip, typology, tier, round(duration, 6) AS duration_seconds, max_intensity, speaker_ids, n_speakers, CASE WHEN slot % 3 = 0 THEN 'voice' ELSE 'family' END AS voice, CASE WHEN split = 'unassigned' THEN '' ELSE split END AS split FROM v_clip JOIN l USING (clip)")
-def manifest(spark: SparkSession, d: str) -> DataFrame:
-    clips = V.clips(spark, d)
-    return labels.manifest(clips, V.clip_speakers(spark, d), clips.where("split <> 'unassigned'").select("clip", "split"))
-
-
 @query("J5_anti", "SELECT clip FROM v_clip WHERE clip NOT IN (SELECT clip FROM v_clip_speaker )")
 def without_speakers(spark: SparkSession, d: str) -> DataFrame:
     return V.clips(spark, d).join(V.clip_speakers(spark, d), "clip", "left_anti").select("clip")
@@ -282,19 +275,6 @@ def sliding(spark: SparkSession, d: str) -> DataFrame:
     return windows.sliding_counts(V.read(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts")))
 
 
-@query("V4_validate_script", """WITH w AS (SELECT scene, idx, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS k FROM v_turn ),
-r AS (SELECT scene, idx, w = lag(w) OVER o AND w = lag(w, 2) OVER o AND w = lag(w, 3) OVER o AS four FROM w WINDOW o AS (PARTITION BY scene, idx ORDER BY k)), b AS (SELECT scene, idx, coalesce(bool_or(four), false) AS repeated FROM r GROUP BY ALL)
-SELECT scene, idx, CASE WHEN trim(text) = '' THEN 'empty' WHEN repeated THEN 'repeated,no_hebrew' ELSE 'no_hebrew' END AS errors FROM v_turn JOIN b USING (scene, idx)""")
-def script(spark: SparkSession, d: str) -> DataFrame:
-    return V.turns(spark, d).select("scene", "idx", F.array_join(text.script_errors(F.col("text"), F.col("intensity")), ",").alias("errors"))
-
-
-@query("P24_ssml_percent", "WITH r AS (SELECT scene, idx, CAST(round_even((0.9 + intensity / 10 - 1) * 100, 0) AS INT) AS rate, CAST(round_even((intensity - 4) * 5.946::DOUBLE, 0) AS INT) AS pitch FROM v_turn ) SELECT scene, idx, CASE WHEN rate >= 0 THEN '+' ELSE '' END || rate || '%' AS rate, CASE WHEN pitch >= 0 THEN '+' ELSE '' END || pitch || '%' AS pitch FROM r")
-def percent(spark: SparkSession, d: str) -> DataFrame:
-    rate, pitch = labels.ssml_percent(F.lit(0.9) + F.col("intensity") / 10, F.col("intensity") - 4)
-    return V.turns(spark, d).select("scene", "idx", rate.alias("rate"), pitch.alias("pitch"))
-
-
 @query("H2_text_key", "SELECT doc_id, sha256(text) AS key FROM documents")
 def text_keys(spark: SparkSession, d: str) -> DataFrame:
     return V.read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
@@ -305,18 +285,6 @@ def props(spark: SparkSession, d: str) -> DataFrame:
     return V.read(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT").getField("k").alias("k"))
 
 
-@query("U2_unknown_codes", f"SELECT DISTINCT tier2 FROM v_event EXCEPT SELECT tier2 FROM {BANDS} b")
-def unknown_codes(spark: SparkSession, d: str) -> DataFrame:
-    known = dims.frame(spark, dims.EVENT_BANDS, "band_of string, top int, tier1 string, tier2 string")
-    return V.events(spark, d).select("tier2").distinct().join(known, "tier2", "left_anti")
-
-
-@query("S18_listing", "SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*) AS files, count(*) FILTER (url LIKE '%.html%') AS html_files FROM pages GROUP BY 1")
-def listing(spark: SparkSession, d: str) -> DataFrame:
-    host = F.regexp_extract("url", "://([^/?#]*)", 1)
-    return V.read(spark, d, "pages").groupBy(host.alias("host")).agg(F.count("*").alias("files"), F.count_if(F.col("url").contains(".html")).alias("html_files"))
-
-
 #: Suppliers connect nearly all clips, where the recursive SQL would not end; the tests compare with union and find.
 QUERIES["G1_components_suppliers"] = lambda spark, d: graph.components(V.clip_suppliers(spark, d))
 QUERIES["G1_splits_suppliers"] = lambda spark, d: graph.splits(graph.components(V.clip_suppliers(spark, d)))

@@ -54,7 +54,7 @@ def sidecars(files: DataFrame) -> DataFrame:
 
 def _texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """path, dir, stem, value: whole texts of the files that fit."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    rows = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("path"), "value")
     return rows.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("stem"), "value")
 
 
@@ -97,7 +97,10 @@ def annotation_pairs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
 
     A clip is a folder with exactly two label files, A's the first by name; a bad line in either drops the clip, an empty file is an annotation without events.
     """
-    files = listing(spark, folder).where("ext = 'jsonl'").select("path", F.regexp_extract("dir", "([^/]*)$", 1).alias("clip"))
+    # Spark's scans leave empty files out, so the names come from the index that the driver makes of the folder anyway
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(folder)
+    paths = spark._jvm.java.lang.String.join("\n", index._jdf.inputFiles()).split("\n")
+    files = spark.createDataFrame([(p,) for p in paths if p], "path string").withColumn("clip", F.regexp_extract("path", "([^/]*)/[^/]*$", 1))
     ranked = files.withColumn("side", F.row_number().over(Window.partitionBy("clip").orderBy("path"))).withColumn("n", F.count("*").over(Window.partitionBy("clip")))
     sides = ranked.where("n = 2").select("path", "clip", "side")
     rows = parsed(_lines(_texts(spark, folder, "*.jsonl")), "text", EVENT, validate.event_errors).withColumn("clip", F.regexp_extract("dir", "([^/]*)$", 1))

@@ -45,10 +45,18 @@ def _turn() -> list[str]:
             "CAST(length(text) % 97 * 1600 AS BIGINT) AS samples", "CAST(length(text) % 97 * 1600 - length(text) % 3 * 160 * CASE WHEN length(text) % 97 = 0 THEN 0 ELSE 1 END AS BIGINT) AS speech_end"]
 
 
+def _label() -> list[str]:
+    """Strong labels, some of them wrong in one way or another."""
+    return ["user_id * 100 + day(ts) AS clip", "event_id", "value AS onset", "CASE WHEN event_id % 53 = 0 THEN value ELSE value + 5 END AS offset_s", f"CASE WHEN event_id % 17 = 0 THEN 'ACOU' ELSE split_part({TIER2}, '_', 1) END AS tier1",
+            f"CASE WHEN event_id % 19 = 0 THEN 'PHYS_ODD' ELSE {TIER2} END AS tier2", "CAST(CASE WHEN event_id % 23 = 0 THEN 6 ELSE 1 + event_id % 5 END AS INT) AS intensity", f"CASE WHEN event_id % 29 = 0 THEN 'XXX' ELSE {ROLE} END AS role",
+            f"CASE WHEN event_id % 31 = 0 THEN 'bored' ELSE {EMOTION} END AS emotion", "CAST(CASE WHEN event_id % 37 = 0 THEN 1.5 ELSE 1 END AS DOUBLE) AS confidence"]
+
+
 DUCK_ONSET = f"(epoch_us(ts) - {EPOCH_US})"
 SPARK_ONSET = f"(unix_micros(CAST(ts AS TIMESTAMP)) - {EPOCH_US})"
 VIEWS = {
     "v_event": "SELECT " + ", ".join(_event(DUCK_ONSET)) + " FROM events",
+    "v_label": "SELECT " + ", ".join(_label()) + " FROM events",
     "v_turn_metrics": "SELECT " + ", ".join(_metrics()) + " FROM events",
     "v_turn_metrics_big": "SELECT " + ", ".join(_metrics_big()) + " FROM lineitem",
     "v_clip": "SELECT " + ", ".join(_clip()) + " FROM orders",
@@ -63,6 +71,10 @@ def events(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").selectExpr(*_event(SPARK_ONSET))
 
 
+def labels(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "events").selectExpr(*_label())
+
+
 def turn_metrics(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").selectExpr(*_metrics())
 

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from auralith.plans.catalogue import QUERIES, SQL
+from auralith.plans.extended import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
 
@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 def duck():
     c = duckdb.connect()
     c.execute("SET TimeZone = 'UTC'")
-    for t in "orders lineitem events documents embeddings pages labels conversations".split():
+    for t in "orders lineitem events documents embeddings pages labels conversations customer supplier benchmark".split():
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     return c
 
