@@ -99,7 +99,7 @@ def annotation_pairs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     """
     # Spark's scans leave empty files out, so the names come from the index that the driver makes of the folder anyway
     index = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(folder)
-    paths = spark._jvm.java.lang.String.join("\n", index._jdf.inputFiles()).split("\n")
+    paths = index.inputFiles()
     files = spark.createDataFrame([(p,) for p in paths if p], "path string").withColumn("clip", F.regexp_extract("path", "([^/]*)/[^/]*$", 1))
     ranked = files.withColumn("side", F.row_number().over(Window.partitionBy("clip").orderBy("path"))).withColumn("n", F.count("*").over(Window.partitionBy("clip")))
     sides = ranked.where("n = 2").select("path", "clip", "side")
