@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
@@ -104,6 +105,12 @@ def brute(texts, radius=4):
 
 @pytest.mark.parametrize("bucket", [4096, 3])
 def test_simhash_components(spark, monkeypatch, bucket):
+    """With small limits every entry goes through blocks, most at once, and every key is dealt over salts."""
+    if bucket != 4096:
+        monkeypatch.setattr(simhash, "BUCKET", bucket)
+        monkeypatch.setattr(simhash, "BLOCK", 2)
+        monkeypatch.setattr("auralith.skew.HEAVY", 2)
+        monkeypatch.setattr("auralith.skew.SMALL", 0)
     rng = np.random.default_rng(2)
     base = [str(w) for w in rng.integers(0, 500, 300)]
     texts = [None, "", " ", "one two", "a b c d e"]
@@ -221,12 +228,78 @@ def test_url_walk_converges(spark):
     p[:, ~dead] /= p[:, ~dead].sum(0)
     p[:, dead] = seed[:, None]
     want = np.linalg.solve(np.eye(len(names)) - 0.85 * p, 0.15 * seed)
-    edges = spark.createDataFrame([(*e, 1.0) for e in links], "src string, dst string, weight double")
-    got = {r["host"]: r["rank"] for r in url_filter.propagate(edges, spark.createDataFrame([("a", 0.75), ("c5", 0.25)], "host string, seed double")).collect()}
+    edges = spark.createDataFrame([("w", *e, 1.0) for e in links], "walk string, src string, dst string, weight double")
+    seeds = spark.createDataFrame([("w", "a", 0.75), ("w", "c5", 0.25)], "walk string, host string, seed double")
+    got = {r["host"]: r["rank"] for r in url_filter.propagate(edges, seeds).collect()}
     assert max(abs(got.get(h, 0.0) - want[at[h]]) for h in names) < 1e-6
-    pages = [(0, "http://bad.net/es/1", "")] + [(i, f"http://h{i}.org/", f'<a href="http://{f"h{i - 1}.org" if i > 1 else "bad.net"}/">') for i in range(1, 21)]
-    out = url_filter.filtered(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
-    assert {r["verdict"] for r in out} == {"block"}
+
+
+def plain_ranks(edges, seeds):
+    names = sorted({h for s, d, _ in edges for h in (s, d)} | set(seeds))
+    at = {h: i for i, h in enumerate(names)}
+    p, seed = np.zeros((len(names), len(names))), np.zeros(len(names))
+    for s, d, w in edges:
+        p[at[d], at[s]] += w
+    for h, v in seeds.items():
+        seed[at[h]] = v / sum(seeds.values())
+    dead = p.sum(0) == 0
+    p[:, ~dead] /= p[:, ~dead].sum(0)
+    p[:, dead] = seed[:, None]
+    return dict(zip(names, np.linalg.solve(np.eye(len(names)) - 0.85 * p, 0.15 * seed), strict=True)) if seeds else {}
+
+
+@pytest.mark.parametrize("heavy", [500, 2])
+def test_url_filter_against_plain_walk(spark, monkeypatch, heavy):
+    """All verdicts of pages with cross-host links, ports, users, subdomains and odd rows against a dense walk; hubs dealt over salts too."""
+    monkeypatch.setattr("auralith.skew.HEAVY", heavy)
+    monkeypatch.setattr("auralith.skew.SMALL", 0)
+    monkeypatch.setattr("auralith.llm.url_filter.HEAVY", heavy)
+    rng, pages = np.random.default_rng(4), []
+    hosts = [f"{a}h{i}.{t}" for i in range(12) for a in ("", "www.") for t in ("org", "net", "com")]
+    for i in range(150):
+        h = hosts[int(rng.integers(len(hosts)))]
+        to = "".join(f'<a href="//{hosts[int(k)]}{":8080" if k % 3 == 0 else ""}/x">' for k in rng.integers(0, len(hosts), rng.integers(0, 4)))
+        pages.append((i, f"http://{h}{':81' if i % 9 == 0 else ''}{('/es/', '/fr/', '/en/', '/')[i % 4]}{i}", to))
+    pages += [(900, None, "x"), (901, "no url", None), (901, "no url", None), (902, "ftp://user@h1.org:21/a", ""), (903, "http://127.0.0.1/x", ""), (904, "http://H1.ORG/X?y", None)]
+    node = lambda h: re.sub(r"^[^@]*@|:\d*$", "", h)
+    edges, counts, seen = Counter(), {"allow": Counter(), "block": Counter()}, set()
+    judged = []
+    for i, u, html in pages:
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.match("[^/?#]*", rest)[0].lower()
+        path = re.match(r"[^/?#]*([^?#]*)", rest)[1]
+        fits = [r for r in url_filter.RULES if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        rule = max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+        judged.append((i, host, rule))
+        if host:
+            seen.add(node(host))
+            if rule:
+                counts[rule[0]][node(host)] += 1
+            for to in re.findall(r"href=\"//([^/\"]+)", html or ""):
+                if node(to) != node(host):
+                    edges[node(host), node(to)] += 1
+                seen.add(node(to))
+    done = set()
+    for h in list(seen):
+        while h.count(".") > 1 and not re.fullmatch(r"[0-9.]*", h):
+            up = h.split(".", 1)[1]
+            if (h, up) not in done:
+                edges[h, up] += 1
+                edges[up, h] += 1
+                done.add((h, up))
+            seen.add(up)
+            h = up
+    flat = [(s, d, w) for (s, d), w in edges.items() if w]
+    seeds = {k: {h: float(np.log1p(n)) for h, n in c.items()} for k, c in counts.items()}
+    trust, distrust = plain_ranks(flat, seeds["allow"]), plain_ranks([(d, s, w) for s, d, w in flat], seeds["block"])
+    got = Counter((r["page_id"], r["host"], r["verdict"]) for r in url_filter.filtered(spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("trust", F.lit(1))).collect())
+    want = Counter()
+    for i, host, rule in judged:
+        d, t = distrust.get(node(host), 0.0), trust.get(node(host), 0.0)
+        assert rule or not d or abs(d - t) > 1e-6
+        want[i, host, rule[0] if rule else "block" if d > 0 and d * len(seen) >= url_filter.FLOOR and d >= t else "allow"] += 1
+    assert got == want and {v for _, _, v in want} == {"allow", "block"}
+    assert url_filter.filtered(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
 
 
 def held_out(column, of, rest):
