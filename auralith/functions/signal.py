@@ -41,7 +41,7 @@ def tiled(x: Column, n: int) -> Column:
 
 
 def faded(x: Column, n: int) -> Column:
-    """Linear from 0 to 1 over n samples at both ends, over half of shorter signals; a fade of one sample silences it."""
+    """From 0 to 1 over n samples at the start and back at the end, over half of shorter signals; of a fade of one sample the start is silent and the end isn't."""
     k = F.least(F.lit(n), F.floor(F.size(x) / 2)).cast("int")
-    ramp = lambda i: F.when(i >= k, 1.0).otherwise(F.coalesce(F.try_divide(i.cast("double"), (k - 1).cast("double")), F.lit(0.0)))
-    return F.transform(x, lambda v, i: v * ramp(i) * ramp(F.size(x) - 1 - i))
+    ramp = lambda i, alone: F.when(i >= k, 1.0).otherwise(F.coalesce(F.try_divide(i.cast("double"), (k - 1).cast("double")), F.lit(alone)))
+    return F.transform(x, lambda v, i: v * ramp(i, 0.0) * ramp(F.size(x) - 1 - i, 1.0))
