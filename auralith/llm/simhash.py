@@ -217,6 +217,7 @@ def links(distinct: DataFrame, bits: int = 64, segments: int = 3, radius: int =
                     yield batch(np.full(len(a), -1, np.int64), f[a], f[b])
 
     found = checkpointed(filed.mapInArrow(scan, schema).distinct())
+    tidy(found.sparkSession)
     hot = found.where("k >= 0").select("k", *[F.col(f"a{i}").alias(f"f{i}") for i in range(lanes)]).union(entries.join(large, "k", "left_semi"))
     sizes = checkpointed(hot.groupBy(F.col("k").alias("__k")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     # a fingerprint of block i goes to every pair of blocks that holds i
@@ -295,6 +296,7 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
     sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "counts")).alias("x")).select("s0", "s1", "doc_id", "x.*"))
     holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s"), F.count("*").alias("sets")))
+    tidy(docs.sparkSession)
     near = _of_prints(links(holders.select(*prints), bits, segments, radius), holders.select(*prints, F.col("s").alias("as")), prints)
     same = join_skewed(sets.select("s0", "s1", *prints), holders.select(*prints, "s"), prints, heavy_keys(holders, prints, "sets")).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
     near = near.select("a", "b").union(same).select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1")).toDF("a0", "a1", "b0", "b1")
@@ -307,12 +309,14 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
         return checkpointed(sets.select("s0", "s1", "doc_id", "n").join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1"))))
 
     groups = grouped(sure)
+    tidy(docs.sparkSession)
     # the first half of a root's name tells groups apart
     firsts = rows.groupBy("s0", "s1").agg(F.min("first").alias("first")).join(groups, ["s0", "s1"])
     maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
     tidy(docs.sparkSession)
     maybe = checkpointed(jaccard.plausible(maybe, sets))
     tidy(docs.sparkSession)
+    tidy(docs.sparkSession)
     more = jaccard.linked(maybe, rows)
     out = groups if more.isEmpty() else grouped(sure.union(more))
     delete(docs.sparkSession, path)
