@@ -202,7 +202,7 @@ def test_turn_measures():
     assert dsp.gate(np.tile(tone, 1), 16_000, "female") == (False, "sustained_vowel") and dsp.gate(tone[:16_000], 16_000, "female") == (True, None) and dsp.gate(tone[:16_000], 16_000, "male") == (False, "f0_guardrails")
     steps = np.zeros(48_000)
     steps[8_000:16_000], steps[24_000:32_000] = 0.02, -0.3
-    assert np.abs(dsp.suppressed(dsp.steps(steps, 16_000), 0.08, 640) - [23_999, 31_999]).max() <= 1 and dsp.gate(np.r_[steps, steps] + 0, 16_000, "male")[1] in ("click_detection", "sustained_vowel")
+    assert np.abs(dsp.suppressed(dsp.steps(steps, 16_000), 0.08, 640) - [23_999, 31_999]).max() <= 1
     assert dsp.speech_end(np.r_[tone[:3200], np.zeros(1600)]) == 3200 and dsp.speech_end(np.zeros(500)) == 0 and dsp.speech_end(np.ones(50)) == 50 and dsp.speech_end(np.zeros(0)) == 0
 
 
