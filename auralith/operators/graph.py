@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auralith.operators.quantiles import sums_before
-from auralith.session import checkpointed
+from auralith.session import checkpointed, tidy
 from auralith.skew import heavy_keys, hot_values, join_skewed
 
 
@@ -26,6 +26,7 @@ def connected(edges: DataFrame) -> DataFrame:
         edges = checkpointed(ends.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).where("u <> v").distinct())
         if edges.isEmpty():
             break
+        tidy(edges.sparkSession)
         rounds.append(_rooted(edges))
     out = rounds[0]
     for later in rounds[1:]:
