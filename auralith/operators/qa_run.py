@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auralith import dims
 from auralith.functions import dsp, providers, ssml
 from auralith.functions import text as T
 from auralith.functions.arrow import map_rows
@@ -188,6 +190,75 @@ def event_labels(rendered: DataFrame, typologies: DataFrame) -> DataFrame:
                         F.col("speaker").alias("speaker_id"), F.col("role").alias("speaker_role"), F.col("canonical").alias("emotional_state"), F.lit(1.0).alias("confidence"), F.lit("auto").alias("label_source"), F.lit(False).alias("iaa_reviewed"), "truncated")
 
 
+def _phrases(text: str, spoken: str, hints: list[dict] | None) -> tuple[list[dict]]:
+    return (ssml.phrases(hints or [], text, spoken),)
+
+
+def _segment(wav: bytes, intensity: int) -> tuple[list[float]]:
+    """A turn's samples as they are mixed: mono at 16 kHz, raised voice, faded ends."""
+    channels, rate = files.decode(bytes(wav))
+    x = dsp.lombard(dsp.resampled(channels.mean(0), rate, dsp.RATE), intensity)
+    k = min(160, len(x) // 2)
+    if k:
+        x = x.copy()
+        x[:k] *= np.linspace(0, 1, k)
+        x[-k:] *= np.linspace(1, 0, k)
+    return (x.tolist(),)
+
+
+def _finished(samples: list[float], tier: str, seed: int) -> tuple[list[float], float, list[dict]]:
+    """The clip's samples, their peak, and the sounds placed in them (tiers B and C)."""
+    x, _ = dsp.preprocessed(np.array(samples)[None], dsp.RATE)
+    log: list[dict] = []
+    if tier in ("B", "C"):
+        scene = {"room_type": "living_room", "device": "phone_on_table", "speaker_distance_meters": 1.5, "background_events": [{"type": "hvac_hum", "loop": True}, {"type": "ACOU_SLAM", "onset_at_phase": "peak", "level_db": -12.0}]}
+        y, log, _ = dsp.augmented(x, dsp.RATE, scene, seed, dict(dims.PHASES))
+        x = dsp.peak_limited(dsp.to_peak(dsp.restored(y, len(x), dsp.RATE // 2), -2.0))
+    x = np.r_[x, np.zeros(max(0, 3 * dsp.RATE - len(x)))]
+    return x.tolist(), float(20 * np.log10(np.abs(x).max())) if np.abs(x).any() else float("-inf"), [{"type": e["type"], "onset": e["onset"], "offset": e["offset"]} for e in log]
+
+
+def generate(spark: SparkSession, scenes: DataFrame, speakers: DataFrame, folder: str, seed: int = 42) -> DataFrame:
+    """Clips of scenes, from script to files: transcript, speech, mix, processing, augmentation, strong labels and metadata. scene, clip_id, path of each.
+
+    scenes: scene (number), project, typology, tier, prompt; speakers: a row a speaker, with the fields of clip documents, known to all scenes.
+    Scripts and speech come from the stand-in providers; the executors write to `folder`, which they must share.
+    """
+    people = speakers.select(F.col("speaker_id").alias("speaker"), "role", "gender", "tts_voice_id")
+    ids = [r["speaker"] for r in people.collect()]  # the cast of a project
+    lines = scripts(scenes.select("scene", "prompt"), ids).select("scene", "idx", F.col("speaker_id").alias("speaker"), "text", "intensity", F.col("emotional_state").alias("emotion"), "phrase_hints")
+    turns = lines.join(F.broadcast(people), "speaker")  # the same
+    heard = turns.join(labels.addressee(turns), ["scene", "role"], "left")
+    spoken, _ = T.disambiguated(F.col("text"), F.when(F.col("addressee") == "AGG", "male").when(F.col("addressee") == "VIC", "female"))
+    turns = map_rows(heard.withColumn("spoken", spoken), ["text", "spoken", "phrase_hints"], f"phrases {ssml.PHRASES}", _phrases).drop("phrase_hints")
+    rows = checkpointed(render_scenes(turns.withColumns({"voice": F.col("tts_voice_id"), "style": F.lit("general")}), seed))
+    parts = map_rows(rows.select("scene", "wav", "intensity", F.bround(F.col("onset") * dsp.RATE).cast("int").alias("first")), ["wav", "intensity"], "samples array<double>", _segment)
+    clips = mixed(parts.select("scene", "first", "samples")).join(scenes.select("scene", "project", "typology", "tier"), "scene")
+    name = manifest.clip_id(F.concat(F.lit("scene-"), F.col("scene").cast("string")))
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), F.lower(F.lit(ids[0])), F.lit("/"), name)
+    clips = checkpointed(map_rows(clips.withColumn("seed", F.lit(seed) + F.col("scene")), ["samples", "tier", "seed"], "samples array<double>, peak double, sounds array<struct<type:string,onset:double,offset:double>>", _finished).withColumns({"clip_id": name, "path": path}))
+    named = rows.withColumn("seconds", F.col("samples") / dsp.RATE)
+    strong = event_labels(named.withColumn("scene", F.concat(F.lit("scene-"), F.col("scene").cast("string"))), scenes.select(F.concat(F.lit("scene-"), F.col("scene").cast("string")).alias("scene"), "typology")).drop("scene")
+    sounds = labels.sound_labels(clips.select(F.col("clip_id").alias("clip"), F.explode("sounds").alias("s")).select("clip", "s.*"), files.taxonomy(spark))
+    placed = sounds.select(F.concat("clip", F.lit("_EVT_S"), F.xxhash64("tier2", "onset").cast("string")).alias("event_id"), F.col("clip").alias("clip_id"), "onset", "offset", F.col("tier1").alias("tier1_category"), F.col("tier2").alias("tier2_subtype"), "intensity", "notes")
+    events = checkpointed(strong.unionByName(placed, allowMissingColumns=True))
+    weak = labels.weak_labels(events.select(F.col("clip_id").alias("clip"), F.col("tier1_category").alias("tier1"), "intensity"))
+    weak = weak.select(F.col("clip").alias("clip_id"), F.struct("has_violence", F.filter(F.split("categories", ","), lambda c: c != "").alias("violence_categories"), "max_intensity").alias("weak"))
+    cast = speakers.select(F.struct(*[c for c in ("speaker_id", "role", "gender", "age_range", "tts_voice_id", "voice_family")]).alias("s")).agg(F.collect_list("s").alias("speakers"))
+    whole = clips.join(weak, "clip_id").crossJoin(F.broadcast(cast))  # one row
+    document = F.struct("clip_id", "project", F.lit("he").alias("language"), F.col("typology").alias("violence_typology"), "tier", (F.size("samples") / dsp.RATE).alias("duration_seconds"), F.lit(dsp.RATE).alias("sample_rate"), F.lit(1).alias("channels"),
+                        F.date_format(F.current_date(), "yyyy-MM-dd").alias("generation_date"), F.lit("1").alias("generator_version"), F.lit(True).alias("is_synthetic"), "speakers", F.col("weak").withField("violence_typology", F.col("typology")).alias("weak_label"),
+                        labels.preprocessing_record(F.col("peak"), F.lit(False)).alias("preprocessing_applied"), F.array().cast("array<string>").alias("quality_flags"))
+    texts = sinks.transcript_texts(rows.select(manifest.clip_id(F.concat(F.lit("scene-"), F.col("scene").cast("string"))).alias("clip_id"), "idx", F.col("speaker").alias("speaker_id"), "role", "onset", "offset", "text", F.lit("-").alias("action"), "intensity"))
+    jsonl = events.groupBy("clip_id").agg(F.array_join(F.array_sort(F.collect_list(F.to_json(F.struct(*events.columns)))), "\n").alias("value"))  # the events of one clip
+    file = lambda df, ext, content: df.select(F.concat("path", F.lit(ext)).alias("path"), content.alias("content"))
+    sinks.write_files(map_rows(clips.select(F.concat("path", F.lit(".wav")).alias("path"), "samples"), ["samples"], "content binary", lambda x: (sinks.wav_bytes(x),)))
+    for df, ext in ((texts, ".txt"), (jsonl, ".jsonl")):
+        sinks.write_files(file(df.join(clips.select("clip_id", "path"), "clip_id"), ext, F.col("value").cast("binary")))
+    sinks.write_files(file(whole, ".json", F.to_json(document).cast("binary")))
+    return clips.select("scene", "clip_id", "path")
+
+
 def judged(results: DataFrame) -> DataFrame:
     """Reason and scores of a judge's raw answers: ok, content_refusal, json_parse_error, api_error. results: raw, error."""
     scores = F.from_json(F.col("raw"), "map<string,int>")

@@ -77,18 +77,25 @@ def folded(rows: DataFrame, by: list[str], order: str, columns: list[str], schem
     return sorted_rows.mapInArrow(run, out)
 
 
+_TARGETS = {(role, i): t for role, i, *t in DRIFT_TARGETS}
+
+
+def drift_step(state: list[float], last: int | None, role: str, intensity: int) -> list:
+    """The speaker's rate, pitch, volume and breathiness after a turn, and the turn's intensity within 1 to 5; last: that of the turn before."""
+    i = max(1, min(5, intensity))
+    aim = [*_TARGETS.get((role, i), (1.0, 0.0, 0.0)), BREATHINESS[i - 1] if role == "VIC" else 0.0]
+    k = 0.6 if last is None or i >= last else 0.3
+    return [*(s + k * (t - s) for s, t in zip(state, aim, strict=True)), i]
+
+
 def speaker_drift(turns: DataFrame) -> DataFrame:
-    """Rate, pitch, volume and breathiness of each speaker before each of its turns: 60 % of the way to the target of role and intensity, 30 % where the intensity falls."""
-    targets = {(role, i): t for role, i, *t in DRIFT_TARGETS}
+    """Rate, pitch, volume and breathiness of each speaker before each of its turns: 60 % of the way to the target of role and intensity, 30 % where the intensity falls."""
 
     def fold(rows: Iterator[tuple]) -> Iterator[tuple]:
         state, last = [1.0, 0.0, 0.0, 0.0], None
         for idx, role, intensity in rows:
             yield (idx, *state)
-            i = max(1, min(5, intensity))
-            aim = [*targets.get((role, i), (1.0, 0.0, 0.0)), BREATHINESS[i - 1] if role == "VIC" else 0.0]
-            k = 0.6 if last is None or i >= last else 0.3
-            state, last = [s + k * (t - s) for s, t in zip(state, aim, strict=True)], i
+            *state, last = drift_step(state, last, role, intensity)
 
     names = ["rate", "pitch", "volume", "breathiness"]
     out = folded(turns, ["scene", "speaker"], "idx", ["idx", "role", "intensity"], "idx bigint, " + ", ".join(f"{n} double" for n in names), fold)

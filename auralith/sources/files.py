@@ -266,3 +266,21 @@ def degradation(label: str = "label"):
 def voices(catalogue: DataFrame, part: str = "Chirp") -> DataFrame:
     """Voice names and whether their name holds `part`."""
     return catalogue.select("name", F.col("name").contains(part).alias("has_part"))
+
+
+#: The profile that is there without a file.
+GENERIC = {"name": "generic", "snr_target_db": 20.0, "agg_pause_prob": 0.30}
+
+
+def profile(name: str, folder: str) -> dict:
+    """A project's profile, from its YAML file in the folder, or the built-in one; any other name is an error."""
+    from pathlib import Path
+
+    import yaml
+
+    path = Path(folder) / f"{name}.yaml"
+    if path.exists():
+        return GENERIC | {"name": name} | (yaml.safe_load(path.read_text("utf-8")) or {})
+    if name != "generic":
+        raise FileNotFoundError(f"no profile {name}")
+    return dict(GENERIC)
