@@ -159,3 +159,33 @@ def stratified_splits(clips: DataFrame, strata: list[str], train: float = 0.7, v
 def scene_disjoint(pairs: DataFrame, scenes: DataFrame) -> DataFrame:
     """clip, speaker rows for components that share neither speakers nor scenes. pairs: clip, speaker; scenes: clip, scene."""
     return pairs.select("clip", F.concat(F.lit("speaker:"), F.col("speaker").cast("string")).alias("speaker")).unionByName(scenes.select("clip", F.concat(F.lit("scene:"), F.col("scene").cast("string")).alias("speaker")))
+
+
+def judge_prompt(clips: DataFrame, variant: str = "with_metadata") -> DataFrame:
+    """P25: clip and prompt; without the arc and the typology's description in the variant no_arc. clips: clip, typology, typology_long, arc, seconds, speakers, backend, degradation (null: none)."""
+    note = F.when(F.col("degradation").isNull(), "").otherwise(F.concat(F.lit("\ndegradation (for evaluation only): "), "degradation"))
+    arc = F.concat(F.lit(" ("), "typology_long", F.lit(")\nintensity arc: "), "arc") if variant == "with_metadata" else F.lit("")
+    head = F.concat(F.lit("clip: "), F.col("clip").cast("string"), F.lit("\ntypology: "), "typology", arc, F.format_string("\nduration: %.1f s\nspeakers: ", "seconds"), "speakers", F.lit("\nbackend: "), "backend", note)
+    return clips.select("clip", F.concat(head, F.lit("\nScore 1 to 5 as JSON: " + ", ".join(DIMENSIONS))).alias("prompt"))
+
+
+def first_sample(clips: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n clips by a column."""
+    return clips.orderBy(order).limit(n)
+
+
+def with_defaults(speakers: DataFrame) -> DataFrame:
+    """A missing voice family is the voice; a missing or empty spoken text is the text, where there are such columns."""
+    out = speakers
+    if "voice_family" in out.columns:
+        out = out.withColumn("voice_family", F.coalesce("voice_family", "tts_voice_id"))
+    if "text_spoken" in out.columns:
+        out = out.withColumn("text_spoken", F.coalesce(F.nullif("text_spoken", F.lit("")), "text"))
+    return out
+
+
+def recogniser_report(rows: DataFrame, clean: DataFrame, degraded: DataFrame, wer_gate: float = 0.40, gap: float = 0.5) -> dict[str, DataFrame]:
+    """Tables of an evaluation: scores of runs with their gate, the best run, separations, whether any degradation separates. rows: run, reference, hypothesis."""
+    scores = run_scores(transcript_errors(rows))
+    found = separations(clean, degraded, gap)
+    return {"runs": scores.withColumn("passed", F.coalesce(F.col("median_wer") < wer_gate, F.lit(False))), "best": best_run(scores), "separations": found, "any_pass": any_pass(found)}

@@ -331,3 +331,17 @@ def test_specified_operators(spark):
     from auralith.operators import graph
 
     assert {r["clip"]: r["root"] for r in graph.components(evaluation.scene_disjoint(pairs, scenes)).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_evaluation_reports(spark):
+    rows = spark.createDataFrame([("a", "one two", "one two"), ("a", "one two", "one"), ("b", "one two", "x y")], "run string, reference string, hypothesis string")
+    scored = lambda kind: spark.createDataFrame([(i, kind, 2.0 - i / 10) for i in range(3)], "clip int, kind string, score double")
+    clean = spark.createDataFrame([(i, 3.0) for i in range(9)], "clip int, score double")
+    out = evaluation.recogniser_report(rows, clean, scored("noise"))
+    assert {r["run"]: (r["median_wer"], r["passed"]) for r in out["runs"].collect()} == {"a": (0.25, True), "b": (1.0, False)} and out["best"].first()["run"] == "a" and out["any_pass"].first()["any_pass"]
+    assert out["separations"].first()["separation"] == pytest.approx(1.1)
+    clips = spark.createDataFrame([(1, "SV", "situational", "1-3-5", 4.0, "two", "azure", None)], "clip int, typology string, typology_long string, arc string, seconds double, speakers string, backend string, degradation string")
+    both = [evaluation.judge_prompt(clips, v).first()["prompt"] for v in ("with_metadata", "no_arc")]
+    assert "1-3-5" in both[0] and "1-3-5" not in both[1] and "situational" not in both[1] and "overall_quality" in both[1]
+    people = spark.createDataFrame([("v", None, "t", ""), ("v", "", "t", "s")], "tts_voice_id string, voice_family string, text string, text_spoken string")
+    assert [(r["voice_family"], r["text_spoken"]) for r in evaluation.with_defaults(people).collect()] == [("v", "t"), ("", "s")]
