@@ -132,7 +132,7 @@ def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs a0, a1, b0, b1 that may link by their counts: two sets share no more hashes of a part of the range than either has there. sets: s0, s1, n, counts, each set once."""
     ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
     hot = hot_values(ends, "a", "b")
-    side = lambda end, n, c: sets.select(F.struct("s0", "s1").alias(end), F.col("n").alias(n), F.col("counts").alias(c))
+    side = lambda end, n, c: sets.select(F.struct("s0", "s1").alias(end), F.col("n").alias(n), F.col("counts").alias(c)).hint("merge")
     both = join_skewed(join_skewed(ends, side("a", "n_x", "x"), ["a"], hot), side("b", "n_y", "y"), ["b"], hot)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     own, path = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi").groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
     tidy(spark)
     hot = hot_values(ends, "a", "b")
-    side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name))
+    side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name)).hint("merge")
     both = join_skewed(join_skewed(ends, side("a", "x"), ["a"], hot), side("b", "y"), ["b"], hot)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
