@@ -39,7 +39,7 @@ def hot_values(rows: DataFrame, *columns: str) -> DataFrame | None:
 
 def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataFrame | None, how: str = "inner") -> DataFrame:
     """left joined (inner or left) to right, which has one row for each value of the keys. The rows of a heavy key are dealt over its salts and right's row is
-    repeated for each of them, so that no task gets a key's rows all. heavy: the keys and their salts in this order, from heavy_keys. Null keys meet nothing."""
+    repeated for each of them, so that no task gets a key's rows all, and both sides are shuffled. heavy: the keys and their salts in this order, from heavy_keys. Null keys meet nothing."""
     if heavy is None:
         return left.join(right, keys, how)
     known = F.broadcast(heavy.toDF(*[f"__h{i}" for i in range(len(keys))], "__salts"))
@@ -47,4 +47,4 @@ def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataF
     salts = F.coalesce("__salts", F.lit(1))
     dealt = left.join(known, on, "left").select(*left.columns, F.pmod(F.xxhash64(*left.columns), salts).cast("int").alias("__salt"))
     repeated = right.join(known, on, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("__salt"))
-    return dealt.join(repeated, [*keys, "__salt"], how).drop("__salt")
+    return dealt.join(repeated.hint("merge"), [*keys, "__salt"], how).drop("__salt")
