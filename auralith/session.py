@@ -3,6 +3,9 @@
 import gc
 import re
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +42,21 @@ def tidy(spark: SparkSession) -> None:
     """Lets Spark's cleaner find the shuffle files and checkpoints that nothing refers to any more; for between the phases of long jobs, where disk would add up."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+@contextmanager
+def tidied(spark: SparkSession, every: float = 3.0) -> Iterator[None]:
+    """Tidies every few seconds while a long job runs, so that the driver's heap stays near what it holds and files go soon."""
+    done = threading.Event()
+
+    def loop() -> None:
+        while not done.wait(every):
+            spark._jvm.System.gc()
+
+    thread = threading.Thread(target=loop, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        done.set()
+        thread.join()
