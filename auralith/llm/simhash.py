@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auralith.llm import jaccard
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored, tidy
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored, tidied, tidy
 from auralith.operators.graph import connected
 
 SEED = 42
@@ -329,7 +329,9 @@ def remove_duplicates(docs: DataFrame, columns: list[str], words: int = 5, bits:
     Texts link if the exact Jaccard similarity of their word shingles is jaccard.SIMILAR or more (texts without words with each other).
     Rows without a doc_id stay.
     """
-    chosen = similar_groups(docs, words, bits, segments, radius).groupBy("root").agg(F.min("doc_id").alias("__id")).where("__id IS NOT NULL").select("__id").distinct()
+    with tidied(docs.sparkSession):
+        groups = similar_groups(docs, words, bits, segments, radius)
+    chosen = groups.groupBy("root").agg(F.min("doc_id").alias("__id")).where("__id IS NOT NULL").select("__id").distinct()
     kept = docs.select(*columns).join(chosen, F.col("doc_id") == F.col("__id"), "left_semi")
     first = Window.partitionBy("doc_id").orderBy("doc_id", "text")
     kept = kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
