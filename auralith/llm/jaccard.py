@@ -8,14 +8,15 @@ n - ceil(SIMILAR * n) + 1. Hashes that many texts of a sample hold come last in
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, hot_values, join_skewed, stored, tidy
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, hot_values, join_skewed, map_texts, slices, stored, tidy
 
 #: The similarity from which two sets link, as a fraction.
 SIMILAR = (4, 5)
@@ -26,6 +27,8 @@ FEW = 8
 NAME = ["s0", "s1"]
 #: Parts of the range of hashes that the hashes of a set are counted in, and the size of sets from which on the counts may not fit.
 PARTS, COUNTED = 64, 65_536
+#: What a round of comparisons moves, as a multiple of all sets; and the bits of a text's key that tell which texts it needs.
+ROUND, BITS = 1, 25
 
 
 def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
@@ -50,13 +53,37 @@ def common_hashes(docs: DataFrame, hashes) -> np.ndarray:
     return np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
 
 
-def named(hashes: np.ndarray, common: np.ndarray) -> tuple[int, int, int, np.ndarray, bytes, bytes]:
-    """The set's name as two numbers, its size, its first hashes in the order of all, the sorted set, and its counts by part of the range."""
+def text_key() -> Column:
+    """A key by which a text is found again; others may have the same."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+
+
+def named(hashes: np.ndarray) -> tuple[int, int, int, bytes]:
+    """The set's name as two numbers, its size and its counts by part of the range."""
     own = np.unique(hashes)
     digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), ">i8").tolist()
+    return *digest, len(own), np.minimum(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=PARTS), COUNTED - 1).astype("<u2").tobytes()
+
+
+def _first(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The set's first hashes in the order of all."""
+    own = np.unique(hashes)
     often = common[np.searchsorted(common, own).clip(max=len(common) - 1)] == own if len(common) else np.zeros(len(own), bool)
     first = len(own) - -(-SIMILAR[0] * len(own) // SIMILAR[1]) + 1 if len(own) else 0
-    return *digest, len(own), np.r_[own[~often], own[often]][:first].view(np.int64), own.tobytes(), np.minimum(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=PARTS), COUNTED - 1).astype("<u2").tobytes()
+    return np.r_[own[~often], own[often]][:first].view(np.int64)
+
+
+def firsts(docs: DataFrame, hashes, common: np.ndarray) -> DataFrame:
+    """s0, s1, first: each shingle set of the texts once, with its first hashes in the order of all. hashes: text -> array of its hashes; common: hashes that come last."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    def work(texts: list[str]) -> list[pa.Array]:
+        made = [hashes(t) for t in texts]
+        names = [named(h)[:2] for h in made]
+        return [pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()), pa.array([_first(h, shared.value) for h in made], pa.list_(pa.int64()))]
+
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    return map_texts(texts, "text", "s0 bigint, s1 bigint, first array<bigint>", work).drop("text").groupBy("s0", "s1").agg(F.min("first").alias("first"))
 
 
 def _may_link(r: np.ndarray, n: np.ndarray, at: np.ndarray, a, b) -> np.ndarray:
@@ -147,15 +174,62 @@ def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return flat.mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs a0, a1, b0, b1 whose sets link, by the whole sets; checkpointed. pairs: checkpointed; sets: s0, s1, hashes, rows may repeat."""
+def _bits(keys: DataFrame) -> dict[int, bytes]:
+    """A bitmap of the keys' last BITS bits, by its parts; at most 2 ** BITS bits come to the driver."""
+    low = keys.select(F.expr(f"pmod(text_key, {1 << BITS}) + 1").alias("low"))  # from 1 on parts are numbered without a gap
+    parts = low.groupBy(F.expr("bitmap_bucket_number(low)").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(low))").alias("bits"))
+    return {r["part"]: bytes(r["bits"]) for r in parts.collect()}
+
+
+def _hashed(docs: DataFrame, hashes, keys: DataFrame) -> DataFrame:
+    """s0, s1, hashes (the whole sorted set): of the texts whose key is among the keys, and of a few others. Only these are hashed. Rows may repeat."""
+    size = 4096  # bytes of a part
+    found = np.zeros((1 << BITS) // 8, np.uint8)
+    for part, bits in _bits(keys).items():
+        found[(part - 1) * size : part * size] = np.frombuffer(bits, np.uint8)[: len(found) - (part - 1) * size]
+    shared = docs.sparkSession.sparkContext.broadcast(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = batch.column("text_key").to_numpy() & ((1 << BITS) - 1)
+            hit = (shared.value[low >> 3] >> (low & 7).astype(np.uint8)) & 1
+            for part in slices(iter([batch.select(["text"]).filter(pa.array(hit.astype(bool)))]), "text"):
+                sets = [np.unique(hashes(t or "")) for t in part.column(0).to_pylist()]
+                names = [named(s)[:2] for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=[*NAME, "hashes"])
+
+    return docs.select("text", text_key()).mapInArrow(run, "s0 bigint, s1 bigint, hashes binary")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, hashes) -> DataFrame:
+    """The pairs a0, a1, b0, b1 whose sets link, by the whole sets; checkpointed. pairs: checkpointed; sets: s0, s1, n, text_key (of one text), each set once; docs: the texts; hashes: text -> array of its hashes.
+
+    The pairs are dealt over as many rounds as keep what a round shuffles near the size of all sets, whatever the number of pairs.
+    """
     spark = pairs.sparkSession
+    # hashes that all rounds move: a set up to three times, and once for each pair that it is the first of
     ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
-    needed = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("s")).distinct().select("s.s0", "s.s1"))
+    uses = ends.groupBy(F.col("a").alias("s")).agg(F.count("*").alias("as_a")).unionByName(ends.select(F.col("b").alias("s"), F.lit(0).cast("long").alias("as_a")).distinct()).groupBy("s").agg((F.sum("as_a") + 3).alias("times"))
+    moved = uses.select("s.*", "times").join(sets.select(*NAME, "n"), NAME).agg(F.sum(F.col("times") * F.col("n"))).first()[0] or 0
+    rounds = max(1, -(-moved // max(1, int(ROUND * (sets.agg(F.sum("n")).first()[0] or 0)))))
+    out = []
+    for i in range(rounds):
+        some = pairs if rounds == 1 else checkpointed(pairs.where(F.pmod(F.xxhash64("a0", "a1", "b0", "b1"), F.lit(rounds)) == i))
+        out.append(_linked_once(some, sets, docs, hashes))
+        tidy(spark)
+    return reduce(DataFrame.union, out)
+
+
+def _linked_once(pairs: DataFrame, sets: DataFrame, docs: DataFrame, hashes) -> DataFrame:
+    """linked, in one round."""
+    spark = pairs.sparkSession
+    ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
+    needed = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("s")).distinct().select("s.s0", "s.s1").join(sets.select(*NAME, "text_key"), NAME))
     n = needed.count()
-    own = sets.select("s0", "s1", "hashes")
     # few: they go to the sets; else the sets are shuffled once
-    own, path = stored(own.join(F.broadcast(needed) if n <= BROADCAST_ROWS else needed, NAME, "left_semi").groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
+    wanted = needed.select(*NAME)
+    own = _hashed(docs, hashes, needed).join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, NAME, "left_semi")
+    own, path = stored(own.groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
     tidy(spark)
     hot = hot_values(ends, "a", "b")
     side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name)).hint("merge")
@@ -172,5 +246,4 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     out = checkpointed(both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "x", "y").toDF("a0", "a1", "b0", "b1", "x", "y").mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint"))
     delete(spark, path)
-    tidy(spark)
     return out

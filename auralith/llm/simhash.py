@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auralith.llm import jaccard
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, heavy_keys, hot_values, join_skewed, join_small, map_texts, stored, tidied, tidy
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, heavy_keys, hot_values, join_skewed, join_small, map_texts, tidied, tidy
 from auralith.operators.graph import connected
 
 SEED = 42
@@ -267,59 +267,59 @@ def _of_prints(edges: DataFrame, known: DataFrame, names: list[str]) -> DataFram
     return ends.select(F.col("as_a").alias("a"), F.col("as_b").alias("b"))
 
 
-def _signatures(docs: DataFrame, words: int, lanes: int, common: np.ndarray) -> DataFrame:
-    """doc_id, s0, s1 (name of the shingle set), n, first, hashes, counts (see jaccard.named), f0.., of whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+def _signatures(docs: DataFrame, words: int, lanes: int) -> DataFrame:
+    """doc_id, text_key, s0, s1 (name of the shingle set), n, counts (see jaccard.named), f0.., of whole texts."""
 
     def work(texts: list[str]) -> list[pa.Array]:
         chunks = [list(_hash_chunks(t, words)) for t in texts]
-        sets = [jaccard.named(np.concatenate([np.zeros(0, np.uint64), *c]).astype(np.uint64), shared.value) for c in chunks]
+        sets = [jaccard.named(np.concatenate([np.zeros(0, np.uint64), *c]).astype(np.uint64)) for c in chunks]
         made = np.array([_print(c, lanes) for c in chunks], np.int64).reshape(-1, lanes)
-        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()))]
+        names = [pa.array([s[i] for s in sets], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
         return [*names, *[pa.array(made[:, i]) for i in range(lanes)]]
 
-    schema = "s0 bigint, s1 bigint, n int, first array<bigint>, hashes binary, counts binary, " + ", ".join(f"f{i} bigint" for i in range(lanes))
-    return map_texts(docs.select("doc_id", "text"), "text", schema, work).drop("text")
+    schema = "s0 bigint, s1 bigint, n int, counts binary, " + ", ".join(f"f{i} bigint" for i in range(lanes))
+    return map_texts(docs.select("doc_id", "text", jaccard.text_key()), "text", schema, work).drop("text")
 
 
 def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: int = 8, radius: int = 20) -> DataFrame:
     """s0, s1, doc_id, root: one row a shingle set, with its smallest doc_id and the smallest set that links of exact similarity connect it to.
 
     Links between fingerprints are candidates only. Those that the sets confirm make groups; what is left to find are links between different groups,
-    and jaccard.candidates finds all that may be, so no link depends on a fingerprint.
+    and jaccard.candidates finds all that may be, so no link depends on a fingerprint. The sets themselves, larger than the texts, are not kept: each phase hashes
+    the texts that it needs again.
     """
     lanes = bits // 64
     prints = [f"f{i}" for i in range(lanes)]
     hashes = lambda text: shingles(text, words)
-    rows = _signatures(docs, words, lanes, jaccard.common_hashes(docs, hashes))
-    rows, path = stored(rows)
-    # equal sets share the hashes, but repeats may set other bits: any fingerprint will do
-    sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*prints, "n", "counts")).alias("x")).select("s0", "s1", "doc_id", "x.*"))
+    rows = checkpointed(_signatures(docs, words, lanes))
+    # equal sets share the hashes, but repeats may set other bits: any fingerprint will do, and any text
+    one = F.min(F.struct(*prints, "n", "counts", "text_key")).alias("x")
+    sets = checkpointed(rows.groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), one).select("s0", "s1", "doc_id", "x.*"))
     holders = checkpointed(sets.groupBy(*prints).agg(F.min(F.struct("s0", "s1")).alias("s"), F.count("*").alias("sets")))
+    del rows
     tidy(docs.sparkSession)
     near = _of_prints(links(holders.select(*prints), bits, segments, radius), holders.select(*prints, F.col("s").alias("as")), prints)
     same = join_skewed(sets.select("s0", "s1", *prints), holders.select(*prints, "s"), prints, heavy_keys(holders, prints, "sets")).where("s0 <> s.s0 OR s1 <> s.s1").select(F.col("s").alias("a"), F.struct("s0", "s1").alias("b"))
     near = near.select("a", "b").union(same).select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1")).toDF("a0", "a1", "b0", "b1")
     near = checkpointed(near)
     tidy(docs.sparkSession)
-    sure = jaccard.linked(near, rows)
+    sure = jaccard.linked(near, sets, docs, hashes)
 
     def grouped(edges: DataFrame) -> DataFrame:
         roots = connected(edges.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b")))
-        return checkpointed(sets.select("s0", "s1", "doc_id", "n").join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1"))))
+        return checkpointed(sets.select("s0", "s1", "doc_id", "n", "text_key").join(roots.select("node.*", "root"), ["s0", "s1"], "left").withColumn("root", F.coalesce("root", F.struct("s0", "s1"))))
 
     groups = grouped(sure)
     tidy(docs.sparkSession)
     # the first half of a root's name tells groups apart
-    firsts = rows.groupBy("s0", "s1").agg(F.min("first").alias("first")).join(groups, ["s0", "s1"])
+    firsts = jaccard.firsts(docs, hashes, jaccard.common_hashes(docs, hashes)).join(groups, ["s0", "s1"])
     maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
+    del firsts
     tidy(docs.sparkSession)
     maybe = checkpointed(jaccard.plausible(maybe, sets))
     tidy(docs.sparkSession)
-    tidy(docs.sparkSession)
-    more = jaccard.linked(maybe, rows)
+    more = jaccard.linked(maybe, sets, docs, hashes)
     out = groups if more.isEmpty() else grouped(sure.union(more))
-    delete(docs.sparkSession, path)
     return out.select("s0", "s1", "doc_id", "root")
 
 

@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from auralith.llm import byte_bpe, html_render, license_scan, media_avi, mixture, quality_zstd, queries, rules_mcd, simhash, toxicity, url_filter
+from auralith.llm import byte_bpe, html_render, jaccard, license_scan, media_avi, mixture, quality_zstd, queries, rules_mcd, simhash, toxicity, url_filter
+from auralith.session import shared_folder
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, f0 long"
@@ -165,6 +167,25 @@ def test_near_dedup_counts_similarity(spark):
     assert sorted(kept) == [i for i in range(len(texts)) if find(i) == i]
 
 
+def test_near_dedup_keeps_no_sets(spark, monkeypatch):
+    """While candidates are looked for, the shared folder holds less than a tenth of the shingle sets; and rounds of comparisons find what one finds."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(2000)) for i in range(120)] + [" ".join(f"w{i}x{k}" for k in range(4 * i, 2000)) for i in range(1, 120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    folder, held, candidates = Path(shared_folder(spark).removeprefix("file:")), [], jaccard.candidates
+    size = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    monkeypatch.setattr(jaccard, "candidates", lambda sets: held.append(size()) or candidates(sets))
+    before = size()
+    kept = sorted(r["doc_id"] for r in simhash.remove_duplicates(docs, ["doc_id", "text"]).collect())
+    # text 119 + i lacks 4 * i of 1996 shingles of text i
+    assert kept == [*range(120), *[119 + i for i in range(1, 120) if 5 * (1996 - 4 * i) < 4 * 1996]]
+    assert held[0] - before < 0.1 * 8 * 1996 * 120
+    once, calls = jaccard._linked_once, []
+    monkeypatch.setattr(jaccard, "_linked_once", lambda *a: calls.append(1) or once(*a))
+    monkeypatch.setattr(jaccard, "ROUND", 1.5)
+    assert sorted(r["doc_id"] for r in simhash.remove_duplicates(docs, ["doc_id", "text"]).collect()) == kept
+    assert len(calls) > 2
+
+
 def test_media_round_trip(spark, odd):
     for r in media_avi.store(odd).collect():
         data = (r["text"] or "").encode()
