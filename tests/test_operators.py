@@ -40,3 +40,14 @@ def test_splits_are_disjoint_and_sized(spark):
     assert abs(n["train"] - 280) <= 5 and abs(n["val"] - 60) <= 5
     with pytest.raises(ValueError):
         graph.splits(pairs, train=1.0)
+
+
+def test_checkpoints_forget_exploding_estimates(spark):
+    """A table that is joined with itself round after round keeps an estimate of its size that the planner can handle (its digits doubled each round)."""
+    from auralith.session import checkpointed
+
+    df = spark.range(50).selectExpr("id", "id AS next")
+    for _ in range(12):
+        df = checkpointed(df.join(df.selectExpr("id AS next", "next AS other"), "next").selectExpr("id", "other AS next"))
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 200
+    assert sorted(map(tuple, df.collect())) == [(i, i) for i in range(50)]
