@@ -3,6 +3,8 @@
 A set is that of the 64-bit hashes of a text's word shingles, and its name a 128-bit digest of them. Two sets link if their Jaccard is SIMILAR or more,
 counted on the whole sets. Which pairs are counted is exact too: in any one order of all hashes, two sets that link share one of their first
 n - ceil(SIMILAR * n) + 1. Hashes that many texts of a sample hold come last in that order; this spares comparisons and changes no result.
+A hash that up to LARGE sets have among their first makes pairs. One that more have makes no pairs but ties its sets into a cluster, whose whole sets are compared where
+they meet, block by block; each comparison of blocks yields what connects their groups, so no number of rows grows with the square of a cluster's size.
 """
 
 from __future__ import annotations
@@ -16,14 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, hot_values, join_skewed, map_texts, slices, stored, tidy
+from auralith.llm.common import BROADCAST_ROWS, checkpointed, delete, heavy_keys, hot_values, join_skewed, map_texts, slices, stored, tidy
+from auralith.operators.graph import connected
 
 #: The similarity from which two sets link, as a fraction.
 SIMILAR = (4, 5)
 #: About so many texts are looked at for common hashes: those in COMMON of them or more, and at most MOST_COMMON hashes.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 200_000
-#: Runs of up to FEW rows are compared at once.
-FEW = 8
+#: Runs of up to FEW rows are compared at once, of up to LARGE as pairs; larger ones are tied into clusters, of which about so many hashes are a block.
+FEW, LARGE, BLOCK = 8, 32, 1 << 19
 NAME = ["s0", "s1"]
 #: Parts of the range of hashes that the hashes of a set are counted in, and the size of sets from which on the counts may not fit.
 PARTS, COUNTED = 64, 65_536
@@ -94,31 +97,35 @@ def _may_link(r: np.ndarray, n: np.ndarray, at: np.ndarray, a, b) -> np.ndarray:
     return (r[a] != r[b]) & (high * np.minimum(n[a], n[b]) >= low * np.maximum(n[a], n[b])) & ((low + high) * most >= low * (n[a] + n[b]))
 
 
-def _candidates(k: np.ndarray, r: np.ndarray, n: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Rows of whole runs of equal hashes k that may link."""
+def _candidates(k: np.ndarray, r: np.ndarray, n: np.ndarray, at: np.ndarray, large: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]]]:
+    """Rows of whole runs of equal hashes k that may link; and of runs of more than `large` rows the first one with each other one, unless all are of one group."""
     starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
     counts = np.diff(np.r_[starts, len(k)])
-    few, out = np.repeat(counts <= FEW, counts), []
+    few, out, tied = np.repeat(counts <= min(FEW, large), counts), [], []
     for step in range(1, min(int(counts.max(initial=1)), FEW)):
         a = np.flatnonzero((k[step:] == k[:-step]) & few[step:])
         a = a[_may_link(r, n, at, a, a + step)]
         out.append((a, a + step))
-    for s, c in zip(starts[counts > FEW], counts[counts > FEW], strict=True):
+    for s, c in zip(starts[counts > min(FEW, large)], counts[counts > min(FEW, large)], strict=True):
         own = s + np.argsort(n[s : s + c], kind="stable")
         if (r[own] == r[own[0]]).all():
             continue
+        if c > large:
+            tied.append((np.full(c - 1, s), np.arange(s + 1, s + c)))
+            continue
         ends = np.searchsorted(n[own], SIMILAR[1] * n[own] // SIMILAR[0], "right")
         for i in range(c - 1):
             b = own[i + 1 : ends[i]]
             a = np.full(len(b), own[i])
             ok = _may_link(r, n, at, a, b)
             out.append((a[ok], b[ok]))
-    return out
+    return out, tied
 
 
 def candidates(sets: DataFrame) -> DataFrame:
-    """a0, a1, b0, b1: names of sets that may link. sets: s0, s1, group (known to be linked inside), n, first."""
-    schema = "a0 bigint, a1 bigint, b0 bigint, b1 bigint"
+    """a0, a1, b0, b1, tied: names of sets that may link, and, if tied, that belong to a cluster (see links_inside). Sets that link and are no such pair are in one cluster, or in one group.
+    sets: s0, s1, group (known to be linked inside), n, first."""
+    schema = "a0 bigint, a1 bigint, b0 bigint, b1 bigint, tied boolean"
     # position in the set's order, from 0
     filed = sets.select("s0", "s1", "group", "n", F.posexplode("first").alias("at", "k")).repartition("k").sortWithinPartitions("k")
 
@@ -144,13 +151,13 @@ def candidates(sets: DataFrame) -> DataFrame:
             return
         t = pa.Table.from_batches(parts)
         k, r, n, at, s0, s1 = (t.column(c).to_numpy() for c in ("k", "group", "n", "at", "s0", "s1"))
-        found = _candidates(k, r, n.astype(np.int64), at.astype(np.int64))
-        a, b = (np.concatenate([p[i] for p in found]) if found else np.zeros(0, int) for i in (0, 1))
-        if len(a):
-            swap = (s0[a] > s0[b]) | ((s0[a] == s0[b]) & (s1[a] > s1[b]))
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            rows = np.unique(np.stack([s0[a], s1[a], s0[b], s1[b]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], names=["a0", "a1", "b0", "b1"])
+        for tied, found in enumerate(_candidates(k, r, n.astype(np.int64), at.astype(np.int64), LARGE)):
+            a, b = (np.concatenate([p[i] for p in found]) if found else np.zeros(0, int) for i in (0, 1))
+            if len(a):
+                swap = (s0[a] > s0[b]) | ((s0[a] == s0[b]) & (s1[a] > s1[b]))
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                rows = np.unique(np.stack([s0[a], s1[a], s0[b], s1[b]], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([*[pa.array(rows[:, i]) for i in range(4)], pa.array(np.full(len(rows), bool(tied)))], names=["a0", "a1", "b0", "b1", "tied"])
 
     return filed.mapInArrow(scan, schema).distinct()
 
@@ -201,6 +208,14 @@ def _hashed(docs: DataFrame, hashes, keys: DataFrame) -> DataFrame:
     return docs.select("text", text_key()).mapInArrow(run, "s0 bigint, s1 bigint, hashes binary")
 
 
+def _whole_sets(needed: DataFrame, docs: DataFrame, hashes) -> tuple[DataFrame, str]:
+    """s0, s1, hashes of the needed sets, once each, and the path where they are stored. needed: s0, s1, text_key, each set once; checkpointed."""
+    n, wanted = needed.count(), needed.select(*NAME)
+    # few: they go to the sets; else the sets are shuffled once
+    own = _hashed(docs, hashes, needed).join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, NAME, "left_semi")
+    return stored(own.groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
+
+
 def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, hashes) -> DataFrame:
     """The pairs a0, a1, b0, b1 whose sets link, by the whole sets; checkpointed. pairs: checkpointed; sets: s0, s1, n, text_key (of one text), each set once; docs: the texts; hashes: text -> array of its hashes.
 
@@ -225,11 +240,7 @@ def _linked_once(pairs: DataFrame, sets: DataFrame, docs: DataFrame, hashes) ->
     spark = pairs.sparkSession
     ends = pairs.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b"))
     needed = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("s")).distinct().select("s.s0", "s.s1").join(sets.select(*NAME, "text_key"), NAME))
-    n = needed.count()
-    # few: they go to the sets; else the sets are shuffled once
-    wanted = needed.select(*NAME)
-    own = _hashed(docs, hashes, needed).join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, NAME, "left_semi")
-    own, path = stored(own.groupBy(*NAME).agg(F.min("hashes").alias("hashes")))
+    own, path = _whole_sets(needed, docs, hashes)
     tidy(spark)
     hot = hot_values(ends, "a", "b")
     side = lambda end, name: own.select(F.struct("s0", "s1").alias(end), F.col("hashes").alias(name)).hint("merge")
@@ -247,3 +258,71 @@ def _linked_once(pairs: DataFrame, sets: DataFrame, docs: DataFrame, hashes) ->
     out = checkpointed(both.select("a.s0", "a.s1", F.col("b.s0").alias("b0"), F.col("b.s1").alias("b1"), "x", "y").toDF("a0", "a1", "b0", "b1", "x", "y").mapInArrow(keep, "a0 bigint, a1 bigint, b0 bigint, b1 bigint"))
     delete(spark, path)
     return out
+
+
+def _connecting(sets: list[np.ndarray], group: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between sets on the left and on the right that connect the groups which their links connect, at most one for each group but one. Hashes held on the
+    right are looked up for each set on the left, so that it meets only those that share one."""
+    if not len(left) or not len(right):
+        return np.zeros(0, int), np.zeros(0, int)
+    of, sizes = np.unique(group, return_inverse=True)[1], np.array([len(s) for s in sets])
+    held, rows = np.concatenate([sets[i] for i in right]), np.repeat(np.arange(len(right)), sizes[right])
+    order = np.argsort(held, kind="stable")
+    held, rows = held[order], rows[order]
+    a, b = [], []
+    for i in left.tolist():
+        low = np.searchsorted(held, sets[i])
+        counts = np.searchsorted(held, sets[i], "right") - low
+        shared = np.bincount(rows[np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())], minlength=len(right))
+        near = right[SIMILAR[1] * shared >= SIMILAR[0] * (sizes[i] + sizes[right] - shared)]
+        found, first = np.unique(of[near], return_index=True)
+        for g, j in zip(found.tolist(), near[first].tolist(), strict=True):
+            if g != of[i]:
+                a.append(i)
+                b.append(j)
+                of[of == g] = of[i]
+    return np.array(a, int), np.array(b, int)
+
+
+def links_inside(ties: DataFrame, groups: DataFrame, docs: DataFrame, hashes) -> DataFrame | None:
+    """a0, a1, b0, b1: links that connect what all links between the sets of a cluster connect, beyond the groups; checkpointed; none without clusters. Ties a0, a1, b0, b1 make the clusters;
+    groups: s0, s1, root (s0 of which tells groups apart), n, text_key, each set once; docs, hashes: as in linked.
+
+    A cluster's sets are dealt into blocks. A set goes to every pair of blocks that holds its own, but sets of the cluster's largest group, which are known to be
+    connected, don't meet each other. The pairs of blocks are dealt over rounds as in linked.
+    """
+    if ties.isEmpty():
+        return None
+    spark = docs.sparkSession
+    roots = connected(ties.select(F.struct(F.col("a0").alias("s0"), F.col("a1").alias("s1")).alias("a"), F.struct(F.col("b0").alias("s0"), F.col("b1").alias("s1")).alias("b")))
+    members = checkpointed(roots.select("node.*", F.col("root").alias("cluster")).join(groups.select(*NAME, F.col("root.s0").alias("group"), F.col("n").cast("long").alias("n"), "text_key"), NAME))
+    sizes = members.groupBy("cluster", "group").agg(F.sum("n").alias("n"), F.count("*").alias("sets"))
+    # the largest group's blocks come after those of the others
+    sizes = sizes.groupBy("cluster").agg(F.max(F.struct("n", "group")).alias("main"), F.sum("n").alias("n"), F.sum("sets").alias("sets"))
+    sizes = checkpointed(sizes.select("cluster", F.col("main.group").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("others"), F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"), "sets"))
+    both = join_skewed(members, sizes.select("cluster", "main", "others", "mains"), ["cluster"], heavy_keys(sizes, ["cluster"], "sets"))
+    inside, at = F.col("group") == F.col("main"), F.xxhash64(*NAME)
+    own = F.when(inside, F.col("others") + F.pmod(at, F.col("mains"))).otherwise(F.pmod(at, F.col("others"))).cast("int")
+    meets = F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("mains"))
+    dealt = checkpointed(both.where("others > 0").select("cluster", *NAME, "group", "n", "text_key", own.alias("own"), meets.alias("meets")))
+    moved, of_all = dealt.agg(F.sum(F.col("n") * F.col("meets"))).first()[0] or 0, groups.agg(F.sum("n")).first()[0] or 0
+    rounds = max(1, -(-moved // max(1, int(ROUND * of_all))))
+    sets, path = _whole_sets(checkpointed(dealt.select(*NAME, "text_key")), docs, hashes)
+    tidy(spark)
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own, s0, s1 = (table.column(c).to_numpy() for c in ("own", *NAME))
+        hashes_of = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
+        a, b = _connecting(hashes_of, table.column("group").to_numpy(), np.flatnonzero(own == i), np.flatnonzero(own == j))
+        return pa.table([pa.array(x) for x in (s0[a], s1[a], s0[b], s1[b])], names=["a0", "a1", "b0", "b1"])
+
+    meet = dealt.select("cluster", *NAME, "group", "own", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)).alias("other"))
+    meet = meet.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *NAME, "group", "own")
+    out = []
+    for k in range(rounds):
+        some = meet.where(F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(rounds)) == k).join(sets.hint("merge"), NAME)
+        out.append(checkpointed(some.groupBy("cluster", "i", "j").applyInArrow(compare, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")))
+        tidy(spark)
+    delete(spark, path)
+    return reduce(DataFrame.union, out)

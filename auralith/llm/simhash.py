@@ -285,7 +285,7 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     """s0, s1, doc_id, root: one row a shingle set, with its smallest doc_id and the smallest set that links of exact similarity connect it to.
 
     Links between fingerprints are candidates only. Those that the sets confirm make groups; what is left to find are links between different groups,
-    and jaccard.candidates finds all that may be, so no link depends on a fingerprint. The sets themselves, larger than the texts, are not kept: each phase hashes
+    and jaccard.candidates finds all that may be, as pairs or as clusters, so no link depends on a fingerprint. The sets themselves, larger than the texts, are not kept: each phase hashes
     the texts that it needs again.
     """
     lanes = bits // 64
@@ -316,9 +316,12 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
     del firsts
     tidy(docs.sparkSession)
-    maybe = checkpointed(jaccard.plausible(maybe, sets))
+    inside = jaccard.links_inside(maybe.where("tied").drop("tied"), groups, docs, hashes)
+    tidy(docs.sparkSession)
+    maybe = checkpointed(jaccard.plausible(maybe.where("NOT tied").drop("tied"), sets))
     tidy(docs.sparkSession)
     more = jaccard.linked(maybe, sets, docs, hashes)
+    more = more if inside is None else more.union(inside)
     out = groups if more.isEmpty() else grouped(sure.union(more))
     return out.select("s0", "s1", "doc_id", "root")
 

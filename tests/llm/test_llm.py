@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from auralith.llm import byte_bpe, html_render, jaccard, license_scan, media_avi, mixture, quality_zstd, queries, rules_mcd, simhash, toxicity, url_filter
-from auralith.session import shared_folder
+from auralith.session import checkpointed, shared_folder
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, f0 long"
@@ -186,6 +186,55 @@ def test_near_dedup_keeps_no_sets(spark, monkeypatch):
     assert len(calls) > 2
 
 
+def test_near_dedup_of_a_large_cluster(spark, monkeypatch):
+    """Variants of one text that mostly don't link: candidates stay in proportion to the rows that file them, and groups are those of brute force; blocks and rounds of a cluster lose no link."""
+    monkeypatch.setattr(jaccard, "ROUND", 1000)
+    rng, base = np.random.default_rng(7), [f"w{k}" for k in range(130)]
+    texts = [" ".join(f"x{i}y{k}" for k in range(20)) for i in range(20)]
+    for i in range(240):
+        w = base.copy()
+        for k in rng.integers(0, 130, rng.integers(1, 9)):
+            w[k] = f"v{i}x{k}"
+        texts.append(" ".join(w))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+
+    def links_of(texts_at):
+        for a in texts_at:
+            for b in texts_at:
+                both = len(sets[a] & sets[b])
+                if a > b and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                    yield a, b
+
+    def smallest(links):
+        root = list(range(len(texts)))
+        find = lambda x: x if root[x] == x else find(root[x])
+        for a, b in links:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+        return [find(i) for i in range(len(texts))]
+
+    want = sorted(set(smallest(links_of(range(len(texts))))))
+    assert 60 < len(want) < 240
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.remove_duplicates(docs, ["doc_id", "text"]).collect()) == want
+    # without any links known
+    hashes = lambda text: simhash.shingles(text, 5)
+    names = {jaccard.named(hashes(t))[:2]: i for i, t in enumerate(texts)}
+    firsts = checkpointed(jaccard.firsts(docs, hashes, jaccard.common_hashes(docs, hashes)))
+    found = checkpointed(jaccard.candidates(firsts.withColumn("group", F.col("s0")).withColumn("n", F.lit(126))))
+    filed = firsts.agg(F.sum(F.size("first"))).first()[0]
+    assert found.count() <= filed < 240 * 239 / 4
+    monkeypatch.setattr(jaccard, "BLOCK", 9000)
+    monkeypatch.setattr(jaccard, "ROUND", 2)
+    keys = docs.select("doc_id", jaccard.text_key()).withColumn("n", F.lit(126))
+    rows = spark.createDataFrame([(*s, i) for s, i in names.items()], "s0 long, s1 long, doc_id long").join(keys, "doc_id").withColumn("root", F.struct("s0", "s1"))
+    ties = found.where("tied").drop("tied")
+    members = {names[r[k], r[k + 1]] for r in ties.collect() for k in (0, 2)}
+    got = [(names[r[0], r[1]], names[r[2], r[3]]) for r in jaccard.links_inside(ties, rows, docs, hashes).collect()]
+    true = set(links_of(sorted(members)))
+    assert len(members) > 100 and {(max(x), min(x)) for x in got} <= true and smallest(got) == smallest(true)
+
+
 def test_media_round_trip(spark, odd):
     for r in media_avi.store(odd).collect():
         data = (r["text"] or "").encode()
