@@ -5,7 +5,7 @@ stray end tags and takes scripts, styles and the like as raw text. The renderer
 hidden attribute, inline style, or a one-part selector of the page's own style sheet with display:none or visibility:hidden; the latter is inherited and
 visibility:visible ends it), and writes the rest: blocks on lines of their own, a blank line around paragraphs, headings, lists and tables, list
 markers with indents, preformatted text as it stands, table cells in aligned columns, cells that span rows and columns in their place. Columns without
-text take no room. A table whose aligned form would take more than SPREAD times its text is written unaligned, so that the output stays in proportion to the page.
+text take no room. Before a cell stand GAP spaces at most, in tables of any size, so that the output stays in proportion to the page; cells after it stand in their columns again.
 All loops are iterative and read on from where they were, so nesting may be as deep as it likes and time is in proportion to the page.
 
 Cases: null and empty html give an empty text; text without tags is one block; an unclosed comment or raw element reaches to the end; a tag without an end makes
@@ -51,8 +51,8 @@ _attribute = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>
 _none = re.compile(r"display\s*+:\s*+none", re.I)
 _visibility = re.compile(r"visibility\s*+:\s*+(hidden|collapse|visible)", re.I)
 _space = re.compile(r"[ \t\n\r\f]+")
-#: Aligned tables may take so many times their text, and so many characters at least.
-SPREAD, ROOM = 16, 65_536
+#: Spaces before a table cell, at most.
+GAP = 256
 #: Lists and quotes are indented by so many characters at most.
 DEEPEST = 80
 
@@ -413,7 +413,7 @@ def placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int,
 
 
 def aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """The rows as lines, columns as wide as their widest line, two spaces apart."""
+    """The rows as lines, columns as wide as their widest line, two spaces apart; a cell further than GAP from what precedes it in its line moves up to it."""
     grid = placed(rows)
     widths: dict[int, int] = {}
     for row in grid:
@@ -426,17 +426,15 @@ def aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
         at += widths[column] + 2
     texts = [[(starts[c], lines) for c, lines in row if c in starts] for row in grid]
     heights = [max([0, *(len(lines) for _, lines in row)]) for row in texts]
-    room = sum(h * (row[-1][0] if row else 0) for h, row in zip(heights, texts, strict=True))
-    plain = room > max(ROOM, SPREAD * sum(len(line) for row in texts for _, lines in row for line in lines))
     out = []
     for height, row in zip(heights, texts, strict=True):
         for k in range(height):
             line, end = [], 0
             for start, lines in row:
                 if k < len(lines):
-                    gap = (2 if line else 0) if plain else start - end
+                    gap = min(GAP, start - end)
                     line.append(" " * gap + lines[k])
-                    end = start + len(lines[k])
+                    end += gap + len(lines[k])
             out.append("".join(line).rstrip())
     return out
 

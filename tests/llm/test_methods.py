@@ -94,6 +94,14 @@ def test_html_table_layout_against_plain():
             assert len(got) == len(want) and [r for r, _ in got] == [r for r, _ in want] and (got == want or any(h > 1 and w > 1 for row in rows for w, h in row))
 
 
+def test_html_tables_of_any_size_are_aligned_alike():
+    """Rows look the same whatever number of rows follows; a cell far off moves up, and the next one is in its column again."""
+    stairs = lambda n: html_render.render("<table>" + "<tr><td rowspan=65534>x" * n + "</table>").split("\n")
+    assert stairs(20) == ["   " * i + "x" for i in range(20)] and stairs(3000)[:20] == stairs(20)
+    wide = html_render.render(f"<table><tr><td>{'y' * 300}<td>b<td>c<tr><td>a<td>{'z' * 60}<td>c</table>").split("\n")
+    assert wide == ["y" * 300 + "  b" + " " * 61 + "c", "a" + " " * 256 + "z" * 60 + " " * 47 + "c"]
+
+
 @pytest.mark.parametrize("unit", ["<a ", '<a "', "<a x='", "<div>", "<p><table>" + "<div>" * 10, "<ul><li>x", "<tr><td colspan=1000>x", "<tr><td rowspan=65534>x", "<style>a", "</p>", "<select><option>"])
 def test_html_takes_linear_time(unit):
     began = time.time()
