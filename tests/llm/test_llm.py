@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
+from contextlib import nullcontext
 from pathlib import Path
 
 import duckdb
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from auralith.llm import byte_bpe, html_render, jaccard, license_scan, media_avi, mixture, quality_zstd, queries, rules_mcd, simhash, toxicity, url_filter
-from auralith.session import checkpointed, shared_folder
+from auralith.session import checkpointed, shared_folder, tidy
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, f0 long"
@@ -304,6 +306,20 @@ def test_url_walk_converges(spark):
     assert max(abs(got.get(h, 0.0) - want[at[h]]) for h in names) < 1e-6
 
 
+def test_url_walk_leaves_no_files(spark, monkeypatch):
+    """The shuffle files of steps go without Spark's cleaner, so that none adds up from step to step."""
+    held, disk = [], spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tidy(spark)
+    time.sleep(2)
+    before = disk.getAllFiles().size()
+    monkeypatch.setattr(url_filter, "tidy", lambda _: None)
+    monkeypatch.setattr(url_filter, "tidied", lambda _: nullcontext())
+    monkeypatch.setattr(url_filter, "checkpointed", lambda df: (checkpointed(df), time.sleep(0.2), held.append(disk.getAllFiles().size()))[0])
+    pages = [(i, f"http://h{i % 7}.{'net/es' if i % 2 else 'com'}/", f'<a href="http://h{i % 5}.org/">') for i in range(60)]
+    got = url_filter.filtered(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert max(held) <= before + 40 and got.count() == 60
+
+
 def plain_ranks(edges, seeds):
     names = sorted({h for s, d, _ in edges for h in (s, d)} | set(seeds))
     at = {h: i for i, h in enumerate(names)}
