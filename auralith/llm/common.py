@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auralith.session import brief, checkpointed, shared_folder, tidied, tidy  # noqa: F401
-from auralith.skew import BROADCAST_ROWS, HEAVY, heavy_keys, hot_values, join_skewed, join_small  # noqa: F401
+from auralith.skew import BROADCAST_ROWS, HEAVY, SMALL, compact, heavy_keys, hot_values, join_skewed, join_small  # noqa: F401
 
 #: Rows that a Python operator holds at once; long texts shorten its output batches further.
 SLICE_ROWS, SLICE_BYTES = 512, 4_000_000

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
+from auralith import skew
 from auralith.llm import byte_bpe, html_render, jaccard, license_scan, media_avi, mixture, quality_zstd, queries, rules_mcd, simhash, toxicity, url_filter
 from auralith.session import checkpointed, shared_folder, tidy
 
@@ -320,6 +321,31 @@ def test_url_walk_leaves_no_files(spark, monkeypatch):
     assert max(held) <= before + 40 and got.count() == 60
 
 
+def test_url_walk_of_a_small_graph_is_few_tasks(spark, monkeypatch):
+    """Tasks follow the graph, not the session's partitions; a larger graph's walk, dealt over them, gives the same ranks."""
+    links = [(f"h{i}", f"h{(i * k + 1) % 40}", 1.0) for i in range(40) for k in (3, 7)]
+    edges = spark.createDataFrame([("w", *e) for e in links if e[0] != e[1]], "walk string, src string, dst string, weight double")
+    seeds = spark.createDataFrame([("w", "h0", 0.75), ("w", "h5", 0.25)], "walk string, host string, seed double")
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    ranks = lambda: {r["host"]: r["rank"] for r in url_filter.propagate(edges, seeds).collect()}
+    names = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("walk", "walk")
+        got = ranks()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("walk") for s in tracker.getJobInfo(j).stageIds]
+        assert 0 < sum(s.numCompletedTasks for s in stages if s) < 2000
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for module, name in ((skew, "SMALL"), (skew, "BROADCAST_ROWS"), (url_filter, "SMALL")):
+        monkeypatch.setattr(module, name, 0)
+    assert got == pytest.approx(ranks(), abs=1e-12)
+
+
 def plain_ranks(edges, seeds):
     names = sorted({h for s, d, _ in edges for h in (s, d)} | set(seeds))
     at = {h: i for i, h in enumerate(names)}
