@@ -5,6 +5,7 @@ counted on the whole sets. Which pairs are counted is exact too: in any one orde
 n - ceil(SIMILAR * n) + 1. Hashes that many texts of a sample hold come last in that order; this spares comparisons and changes no result.
 A hash that up to LARGE sets have among their first makes pairs. One that more have makes no pairs but ties its sets into a cluster, whose whole sets are compared where
 they meet, block by block; each comparison of blocks yields what connects their groups, so no number of rows grows with the square of a cluster's size.
+As blocks that meet do grow so, hashes that turn out to be crowded, which a sample of a large table can't show, come last too, and the sets' first are taken anew.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SIMILAR = (4, 5)
 SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 200_000
 #: Runs of up to FEW rows are compared at once, of up to LARGE as pairs; larger ones are tied into clusters, of which about so many hashes are a block.
 FEW, LARGE, BLOCK = 8, 32, 1 << 19
+#: How often crowded hashes, those of more than FEW sets, are put last; those that are found after that make pairs or clusters.
+ORDERS = 2
 NAME = ["s0", "s1"]
 #: Parts of the range of hashes that the hashes of a set are counted in, and the size of sets from which on the counts may not fit.
 PARTS, COUNTED = 64, 65_536
@@ -89,6 +92,29 @@ def firsts(docs: DataFrame, hashes, common: np.ndarray) -> DataFrame:
     return map_texts(texts, "text", "s0 bigint, s1 bigint, first array<bigint>", work).drop("text").groupBy("s0", "s1").agg(F.min("first").alias("first"))
 
 
+def crowded(sets: DataFrame, common: np.ndarray) -> np.ndarray:
+    """Sorted hashes, other than the common ones, that more than FEW sets, not all of one group, have among their first; the MOST_COMMON most frequent at most. sets: s0, s1, group, first."""
+    rows = sets.select("group", F.explode("first").alias("k"))
+    many = rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > FEW).orderBy(F.desc("n"), "k").limit(MOST_COMMON)
+    mixed = rows.join(F.broadcast(checkpointed(many.select("k"))), "k").groupBy("k").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b")
+    return np.setdiff1d(mixed.select("k").toArrow().column("k").to_numpy().astype(np.int64).view(np.uint64), common)
+
+
+def ordered_firsts(docs: DataFrame, hashes, groups: DataFrame) -> DataFrame:
+    """s0, s1, group, n, first: the sets with their first hashes in an order in which few sets crowd on one. groups: s0, s1, group, n, each set once. The first hashes are stored while
+    crowded ones are looked for, not after."""
+    common = common_hashes(docs, hashes)
+    for _ in range(ORDERS):
+        held, path = stored(firsts(docs, hashes, common).join(groups, NAME))
+        more = crowded(held, common)
+        delete(docs.sparkSession, path)
+        tidy(docs.sparkSession)
+        if not len(more):
+            break
+        common = np.union1d(common, more)
+    return firsts(docs, hashes, common).join(groups, NAME)
+
+
 def _may_link(r: np.ndarray, n: np.ndarray, at: np.ndarray, a, b) -> np.ndarray:
     """Whether rows a and b of one hash, in different groups r, may link by sizes n and positions at: if this is the first hash that they share,
     they share no more than it and what follows in either."""

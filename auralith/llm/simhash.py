@@ -312,8 +312,8 @@ def similar_groups(docs: DataFrame, words: int = 5, bits: int = 128, segments: i
     groups = grouped(sure)
     tidy(docs.sparkSession)
     # the first half of a root's name tells groups apart
-    firsts = jaccard.firsts(docs, hashes, jaccard.common_hashes(docs, hashes)).join(groups, ["s0", "s1"])
-    maybe = checkpointed(jaccard.candidates(firsts.select("s0", "s1", F.col("root.s0").alias("group"), "n", "first")))
+    firsts = jaccard.ordered_firsts(docs, hashes, groups.select("s0", "s1", F.col("root.s0").alias("group"), "n"))
+    maybe = checkpointed(jaccard.candidates(firsts))
     del firsts
     tidy(docs.sparkSession)
     inside = jaccard.links_inside(maybe.where("tied").drop("tied"), groups, docs, hashes)

@@ -288,6 +288,20 @@ def test_url_rules_and_ranks(spark):
     assert got == {1: ("www.example.com", "www.example.com/en/", "allow"), 2: ("example.com", "example.com/en/", "block"), 3: ("bad.net", "net/es/", "block"), 4: ("friend.org", None, "block"), 5: ("far.org", None, "allow"), 6: ("", None, "allow"), 7: ("", None, "allow"), 8: ("shop.com", "com/", "allow")}
 
 
+def test_crowded_hashes_come_last(spark, monkeypatch):
+    """A passage that the sample of a large table doesn't show ties texts that share nothing else into no cluster; near copies among them are found as before."""
+    rng = np.random.default_rng(5)
+    passage = next(t for i in range(100_000) if simhash.shingles(t := f"this one passage is {i}", 5)[0] < 2**64 // 5000)
+    texts = [f"{passage} {' '.join(f'w{w}' for w in rng.integers(0, 10**6, 60))}" for _ in range(45)]
+    texts += [texts[7].rpartition(" ")[0] + " other"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tied, inside = [], jaccard.links_inside
+    monkeypatch.setattr(jaccard, "common_hashes", lambda *_: np.zeros(0, np.uint64))
+    monkeypatch.setattr(jaccard, "links_inside", lambda ties, *rest: (tied.append(ties.count()), inside(ties, *rest))[1])
+    kept = sorted(r["doc_id"] for r in simhash.remove_duplicates(docs, ["doc_id", "text"]).collect())
+    assert kept == list(range(45)) and tied == [0]
+
+
 def test_url_walk_converges(spark):
     """A cycle, a host without out-edges and a chain longer than a few steps, against the dense solution; the chain's far end is blocked."""
     links = [("a", "b"), ("b", "a"), ("b", "c"), ("a", "dead"), *[(f"c{i}", f"c{i + 1}") for i in range(30)], ("c", "c0")]
