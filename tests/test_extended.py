@@ -8,6 +8,7 @@ from auralith import dims, hebrew
 from auralith.functions import dsp, providers, signal, ssml, text
 from auralith.operators import evaluation, iaa, labels, manifest, planning, qa, qa_run, quantiles, timeline
 from auralith.plans.extended import QUERIES, SQL
+from auralith.sources import files
 
 DATA = "/root/testdata/sf0.001"
 
@@ -345,3 +346,28 @@ def test_evaluation_reports(spark):
     assert "1-3-5" in both[0] and "1-3-5" not in both[1] and "situational" not in both[1] and "overall_quality" in both[1]
     people = spark.createDataFrame([("v", None, "t", ""), ("v", "", "t", "s")], "tts_voice_id string, voice_family string, text string, text_spoken string")
     assert [(r["voice_family"], r["text_spoken"]) for r in evaluation.with_defaults(people).collect()] == [("v", "t"), ("", "s")]
+
+
+@pytest.mark.parametrize("audio", [True, False])
+def test_equal_markup_is_spoken_once(spark, tmp_path, monkeypatch, audio):
+    """Each turn has the speech of its own markup and the measures of its own intensity, but the provider is asked once for each markup."""
+    asked = str(tmp_path / "asked")
+
+    def load():
+        def speak(text: str) -> bytes:
+            with open(asked, "a") as f:
+                f.write(f"{hash(text)}\n")
+            return providers._tone(text)
+
+        return speak
+
+    monkeypatch.setitem(providers.REGISTRY, ("tts", "counted"), providers.Provider(load, "tts", styles=True))
+    turns = [(s, i, r, r, 1 + (s + i) % 5, "שלום לך", "voice", "angry", None) for s in range(12) for i in range(6) for r in [("AGG", "VIC", "BYS")[i % 3]]]
+    turns = spark.createDataFrame(turns, f"scene long, idx long, speaker string, role string, intensity int, spoken string, voice string, style string, phrases {ssml.PHRASES}")
+    rows = qa_run.render_scenes(turns, voice="counted", **({} if audio else {"audio": False})).collect()
+    assert len(open(asked).read().split()) == len({r["key"] for r in rows}) < len(rows) == 72
+    for r in rows:
+        wav = providers._tone(r["ssml"])
+        x = dsp.lombard(dsp.resampled(files.decode(wav)[0].mean(0), 24_000, dsp.RATE), r["intensity"])
+        assert (r["samples"], r["speech_end"], r["gate"], r["hit"], r["error"]) == (len(x), dsp.speech_end(x), dsp.gate(x, dsp.RATE, "female")[1], False, None)
+        assert ("wav" in r) == audio and (not audio or bytes(r["wav"]) == wav)
