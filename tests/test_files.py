@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auralith.operators import iaa, qa_run, validate
+from auralith.plans.extended import QUERIES
 from auralith.sinks import files as sinks
 from auralith.sources import files
 
@@ -228,3 +229,12 @@ def test_configs(spark, tmp_path):
     assert files.rendered("a {{ x }} b", {"x": "1"}) == "a 1 b"
     with pytest.raises(KeyError):
         files.rendered("{{ y }}", {})
+
+
+def test_lines_are_parsed_once(spark):
+    """Filters and fields that follow don't each get a parser of their own."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(QUERIES["S5_event_lines"](spark, "/root/testdata/sf0.001")).count("from_json(") == 1
+    rows = spark.createDataFrame([("a", '{"event_id": 1'), ("b", None), ("c", ""), ("d", '{"event_id": "x"}')], "doc string, text string")
+    out = files.parsed(rows, "text", files.EVENT, lambda doc: F.when(F.col(f"{doc}.event_id").isNull(), F.array(F.lit("no id"))).otherwise(F.array()))
+    assert sorted(r["text"] or "" for r in out.collect()) == ["", "", '{"event_id": "x"}', '{"event_id": 1'] and [r["doc"]["event_id"] for r in out.where("doc IS NOT NULL").collect()] == ["x"]
