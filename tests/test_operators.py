@@ -51,3 +51,29 @@ def test_checkpoints_forget_exploding_estimates(spark):
         df = checkpointed(df.join(df.selectExpr("id AS next", "next AS other"), "next").selectExpr("id", "other AS next"))
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 200
     assert sorted(map(tuple, df.collect())) == [(i, i) for i in range(50)]
+
+
+@pytest.mark.parametrize("most, text", [(250_000, False), (30, False), (30, True)])
+def test_components_link_in_tasks_first(spark, monkeypatch, most, text):
+    """Equal to union and find whatever a task holds at once, with repeated pairs and nulls; what the tasks can't link themselves is a small part of the pairs."""
+    monkeypatch.setattr(graph, "NODES", most)
+    edges, whole = [], graph.connected
+    monkeypatch.setattr(graph, "connected", lambda e: edges.append(e.count()) or whole(e))
+    named = (lambda k, v: f"{k}{v}") if text else (lambda k, v: v)
+    pairs = [(named("c", c), named("s", c // 50 * 10 + (c * c + k) % 7)) for c in range(600) for k in (0, 1, 1, 3, 5)] + [(named("c", 1000), None), (named("c", 3), None), (None, named("s", 1)), (None, named("s", 20)), (None, None)]
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for c, s in pairs:
+        if c is not None and s is not None:
+            a, b = find(("c", c)), find(("s", s))
+            root[max(a, b)] = min(a, b)
+    want = {c: find(("c", c))[1] for c, _ in pairs if c is not None} | {None: None}
+    rows = spark.createDataFrame(pairs, "clip string, speaker string" if text else "clip long, speaker long").repartition(3)
+    got = graph.components(rows).collect()
+    assert {r["clip"]: r["root"] for r in got} == want and len(got) == len(want) == 602
+    assert most == 30 or edges[0] < 500  # of 2,400 different pairs
