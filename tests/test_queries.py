@@ -45,3 +45,12 @@ def test_components_of_whole_table(spark, duck):
     got = {r["clip"]: r["root"] for r in QUERIES["G1_components_suppliers"](spark, DATA).collect()}
     assert got == want and len(got) == duck.sql("SELECT count(DISTINCT l_orderkey) FROM lineitem").fetchall()[0][0]
     assert {r["clip"] for r in QUERIES["G1_splits_suppliers"](spark, DATA).collect()} == set(want)
+
+
+def test_splits_of_suppliers_contract_a_small_graph(spark, duck, monkeypatch):
+    from auralith.operators import graph
+
+    edges, whole = [], graph.connected
+    monkeypatch.setattr(graph, "connected", lambda e: edges.append(e.count()) or whole(e))
+    QUERIES["G1_splits_suppliers"](spark, DATA)
+    assert len(edges) == 1 and edges[0] < duck.sql("SELECT count(DISTINCT l_orderkey) FROM lineitem").fetchall()[0][0] / 10
